@@ -30,7 +30,6 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +52,6 @@ PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\
 SETTLED = r"\u0000-\u052f\u0600-\u06ff\u0900-\u097f\u0e00-\u0e7f\u2000-\u206f\u20a0-\u20bf\u3000-\u30ff\u4e00-\u9fef\uac00-\ud7a3\uff00-\uffef\U0001f300-\U0001f5ff"
 
 
-@lru_cache(4)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -64,7 +62,6 @@ def _tokenizer(path: str):
     return t
 
 
-@lru_cache(4)
 def _splitter(path: str):
     """A function that cuts a text into words; special tokens are words."""
     with open(path, encoding="utf-8") as f:
