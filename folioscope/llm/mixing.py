@@ -95,7 +95,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_copies: int =
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    chosen = mix(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("_copies")).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_id"]))
-    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    return joined.filter("_copies > 0").withColumn("_n", again).drop("_copies", "_n", "_id")
+    own = [f"_c{i}" for i in range(len(docs.columns))]  # so that no column of ``docs`` clashes
+    plain = docs.toDF(*own)
+    chosen = mix(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("_copies")).withColumnRenamed("doc_id", "_id").filter("_copies > 0")
+    joined = plain.join(chosen, plain[own[docs.columns.index("doc_id")]].eqNullSafe(chosen["_id"]))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_n")
+    return joined.select(*own, again).drop("_n").toDF(*docs.columns)

@@ -254,8 +254,9 @@ def remove_repeated(docs: DataFrame, window: int = 35, gram: int = 4, text_col:
     spans = dealt.mapInArrow(_count(window, part_bytes), "key binary, start int, end int")
     per = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("_spans")).withColumnRenamed("key", "_key")
     fresh = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    keyed = docs.select(*fresh, F.unhex(F.substring(F.md5(F.coalesce(F.col(text_col), F.lit(""))), 1, 24)).alias("_k"))
-    joined = keyed.join(per, F.col("_k") == F.col("_key"), "left").select(*fresh, "_spans")
+    own = [f"_c{i}" for i in range(len(fresh))]  # so that no column of ``docs`` clashes
+    keyed = docs.select(*(F.col(c).alias(o) for c, o in zip(fresh, own, strict=True)), F.unhex(F.substring(F.md5(F.coalesce(F.col(text_col), F.lit(""))), 1, 24)).alias("_k"))
+    joined = keyed.join(per, F.col("_k") == F.col("_key"), "left").select(*own, "_spans")
     schema = T.StructType([docs.schema[c] for c in fresh] + [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     where = fresh.index(text_col)
 
