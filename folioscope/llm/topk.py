@@ -7,7 +7,8 @@ walks all lists from the end its own sign prefers; rows met for the first time a
 scored in full, and the threshold, the score of an imaginary row made of the
 components last met, falls as it walks.  When the threshold is under the k-th best
 score, no unseen row can enter, not even by a tie, and the walk ends.  Steps grow
-geometrically and are taken at once in numpy.  The k best of each block meet in one
+geometrically and are taken at once in numpy; a step that would access as many entries
+as the block has rows scores the rows not yet met directly.  The k best of each block meet in one
 ranking per query.
 
 Defined results: vectors that are null or hold null or non-finite components take no
@@ -48,35 +49,39 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 def threshold_search(ids: np.ndarray, rows: np.ndarray, query_id: int, query: np.ndarray, k: int, lists: tuple) -> tuple[np.ndarray, np.ndarray]:
     """Ids and scores of the k best rows (by score, then smaller id), the query's own
-    id left out.  ``lists``: for each direction, row numbers and values by dimension."""
-    n = len(ids)
-    down, up = lists  # (order, values) sorted descending, ascending; dimension by depth
-    plus = query > 0
+    id left out.  ``lists``: row numbers and values by dimension, ascending; a positive
+    weight walks its list from the end."""
+    n, (order, values) = len(ids), lists
+    q = query.astype(rows.dtype)
     live = np.flatnonzero(query)
-    order = np.where(plus[live, None], down[0][live], up[0][live]) if len(live) else np.arange(n)[None]
-    values = np.where(plus[live, None], down[1][live], up[1][live]) if len(live) else np.zeros((1, n), rows.dtype)
-    bound = (query[live].astype(rows.dtype) @ values) if len(live) else np.zeros(n, rows.dtype)  # by depth, falling
-    seen = np.zeros(n, dtype=bool)
+    plus = (query[live] > 0)[:, None]
+    fresh_mask = np.ones(n, dtype=bool)
     best_i, best_s = np.empty(0, dtype=np.int64), np.empty(0, dtype=rows.dtype)
-    depth, step = 0, max(1, 4 * k // max(1, len(order)))
-    q = query.astype(rows.dtype)
+    depth, step = 0, max(1, 4 * k // max(1, len(live)))
     while depth < n:
         to = min(n, depth + step)
-        fresh = np.zeros(n, dtype=bool)
-        fresh[order[:, depth:to].ravel()] = True
-        fresh &= ~seen
-        seen |= fresh
-        new = np.flatnonzero(fresh)
-        new = new[ids[new] != query_id]
-        if len(new):
-            best_i = np.concatenate([best_i, new])
-            best_s = np.concatenate([best_s, rows[new] @ q])
-            if len(best_i) > k:
-                top = np.lexsort((ids[best_i], -best_s))[:k] if len(best_i) < 4 * k else _head(ids, best_i, best_s, k)
-                best_i, best_s = best_i[top], best_s[top]
-        if len(best_i) == k and bound[to - 1] < best_s.min():
-            break
-        depth, step = to, step * 2
+        if to * len(live) >= n or not len(live):  # as many accesses as rows: the rest is met at once
+            to, new = n, np.flatnonzero(fresh_mask)
+            scores = (rows @ q)[new] if 2 * len(new) > n else rows[new] @ q
+        else:
+            met = np.where(plus, order[live, n - to : n - depth], order[live, depth:to])
+            new = np.unique(met)
+            new = new[fresh_mask[new]]
+            fresh_mask[new] = False
+            scores = rows[new] @ q
+        if len(best_i) == k:
+            good = scores >= best_s.min()
+            new, scores = new[good], scores[good]
+        other = ids[new] != query_id
+        best_i, best_s = np.concatenate([best_i, new[other]]), np.concatenate([best_s, scores[other]])
+        if len(best_i) > k:
+            top = _head(ids, best_i, best_s, k)
+            best_i, best_s = best_i[top], best_s[top]
+        if len(best_i) == k and to < n:
+            edge = np.where(plus[:, 0], values[live, n - to], values[live, to - 1])  # the components last met
+            if (q[live] * edge).sum() < best_s.min():
+                break
+        depth, step = to, step * 4
     return best_i, best_s
 
 
@@ -102,9 +107,8 @@ def search_top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, block:
         most = int(np.abs(rows).max(initial=0)) * int(np.abs(asked).max(initial=0)) * width
         rows = rows.astype(np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64)  # all exact
         ids = cs["vec_id"].to_numpy()
-        order = np.ascontiguousarray(np.argsort(rows, axis=0, kind="stable").T)
-        values = np.ascontiguousarray(np.take_along_axis(rows.T, order, axis=1))
-        lists = ((np.ascontiguousarray(order[:, ::-1]), np.ascontiguousarray(values[:, ::-1])), (order, values))
+        order = np.ascontiguousarray(np.argsort(rows, axis=0, kind="stable").T.astype(np.int32))
+        lists = (order, np.ascontiguousarray(np.take_along_axis(rows.T, order, axis=1)))
         out = []
         for query_id, query in zip(qs["vec_id"].to_numpy(), asked, strict=True):
             at, scores = threshold_search(ids, rows, query_id, query, k, lists)
