@@ -22,7 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each class of near copies."""
+    """The document with the least doc_id of each class of near copies.  Rows that
+    share this doc_id stay together; documents without words have no copies."""
     keep = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_kept_id"]), "left_semi")
 
