@@ -126,9 +126,10 @@ def common_shingles(docs: DataFrame, text_col: str, size: int, share: float, flo
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, offsets in text_chunks(batch.column(0), chunk_bytes):
-                _, value, _ = shingles(data, offsets, size)
-                s = np.sort(value)
+            for i, j, _, _ in text_chunks(batch.column(0), chunk_bytes):
+                # hashed in smaller pieces: hashing takes some fifty times the text's bytes
+                parts = [shingles(d, o, size)[1] for _, _, d, o in text_chunks(batch.column(0).slice(i, j - i), 1_000_000)]
+                s = np.sort(np.concatenate(parts))
                 at = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.empty(0, dtype=np.int64)
                 heavy = s[at][np.diff(np.append(at, len(s))) >= share * (j - i)]
                 yield pa.RecordBatch.from_arrays([pa.array(heavy.view(np.int64)), pa.array(np.zeros(len(heavy), dtype=np.int64) + (j - i))], names=["h", "n"])
