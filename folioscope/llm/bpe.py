@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscope.llm.scratch import shuffle_partitions
+from folioscope.llm.scratch import lean, shuffle_partitions
 from folioscope.llm.words import ragged
 
 # The pre-token pattern of byte-level BPE, with white space spelled out
@@ -213,8 +213,8 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", keep: l
     parts = shuffle_partitions(spark)
     keep = [c for c in (docs.columns if keep is None else keep) if c != "ids"]
     texts = docs.select(text_col)
-    asked = texts.mapInArrow(_ask(tokenizer_path, block_bytes, parts), WANTED).repartition(parts, "bucket").sortWithinPartitions("bucket")
-    answers = asked.mapInArrow(_answer(tokenizer_path, most_words), "block binary, blob binary")
+    asked = texts.mapInArrow(lean(_ask(tokenizer_path, block_bytes, parts)), WANTED).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    answers = asked.mapInArrow(lean(_answer(tokenizer_path, most_words)), "block binary, blob binary")
     rows = docs.select(text_col, *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep) if c != text_col))
     carried = [f for f in rows.schema.fields if f.name.startswith("_k")]
     with_text = text_col in keep
@@ -230,7 +230,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", keep: l
                 more = [part.column(0)] if with_text else []
                 yield pa.RecordBatch.from_arrays([pa.array([name] * n, pa.binary()), pa.array([1] * n, pa.int32()), pa.array(blobs, pa.binary()), *more, *part.columns[1:]], names=form.names)
 
-    numbered = rows.mapInArrow(number, form)
+    numbered = rows.mapInArrow(lean(number), form)
     blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in form.fields[3:]]
     both = numbered.unionByName(answers.select("block", F.lit(0).alias("kind"), "blob", *blank))
     both = both.repartition(parts, "block").sortWithinPartitions("block", "kind")
@@ -271,7 +271,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", keep: l
             if rows:
                 yield flush()
 
-    done = both.mapInArrow(assemble, out)
+    done = both.mapInArrow(lean(assemble), out)
     names = {f"_k{i}": c for i, c in enumerate(keep)} | {"_text": text_col}
     back = {names[f.name]: f.name for f in out.fields[:-1]}
     return done.select(*(F.col(back[c]).alias(c) for c in keep), "ids")
@@ -318,5 +318,5 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_co
     def _with(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, out_col])
 
-    return encoded.select(*columns).mapInArrow(run, schema)
+    return encoded.select(*columns).mapInArrow(lean(run), schema)
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.components import components
-from folioscope.llm.scratch import stage
+from folioscope.llm.scratch import lean, stage
 from folioscope.llm.words import Words, mix, text_chunks, window_hash
 
 _LOG = -np.log((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
@@ -134,7 +134,7 @@ def common_shingles(docs: DataFrame, text_col: str, size: int, share: float, flo
                 heavy = s[at][np.diff(np.append(at, len(s))) >= share * (j - i)]
                 yield pa.RecordBatch.from_arrays([pa.array(heavy.view(np.int64)), pa.array(np.zeros(len(heavy), dtype=np.int64) + (j - i))], names=["h", "n"])
 
-    proposed = stage(texts.mapInArrow(propose, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "proposed")
+    proposed = stage(texts.mapInArrow(lean(propose), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "proposed")
     many = proposed.count()
     known = None
     if many <= most_proposed:
@@ -156,7 +156,7 @@ def common_shingles(docs: DataFrame, text_col: str, size: int, share: float, flo
                     pairs = np.unique(np.stack([value, least], 1), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].view(np.int64)), pa.array(pairs[:, 1].view(np.int64))], names=["h", "least"])
 
-    counts = texts.mapInArrow(held, "h long, least long").distinct().groupBy("h").count()
+    counts = texts.mapInArrow(lean(held), "h long, least long").distinct().groupBy("h").count()
     n = docs.count()
     rows = counts.filter(F.col("count") > share * n).collect()
     keys = np.array([r["h"] for r in rows], dtype=np.int64).view(np.uint64)
@@ -190,7 +190,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * bands), pa.array(np.ascontiguousarray(band).view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays([pa.array([digests[i].hex() for i in row], pa.string()), lists], names=["key", "bands"])
 
-    sketches = texts.select("text").mapInArrow(sketch, "key string, bands array<bigint>").groupBy("key").agg(F.first("bands").alias("bands"))
+    sketches = texts.select("text").mapInArrow(lean(sketch), "key string, bands array<bigint>").groupBy("key").agg(F.first("bands").alias("bands"))
     sketches = stage(sketches, "sketches")
     nth = lambda i: F.element_at("bands", F.pmod(F.col("band") + i, F.lit(bands)) + 1)
     member = sketches.select("key", F.posexplode("bands").alias("band", "h"), "bands")
@@ -240,7 +240,7 @@ def _verify(texts: DataFrame, pairs: DataFrame, least: float, shingle: int, idf)
             kept = batch.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=["a", "b", "similarity"])
 
-    return two.select("a", "b", "text_a", "text_b").mapInArrow(check, "a string, b string, similarity double")
+    return two.select("a", "b", "text_a", "text_b").mapInArrow(lean(check), "a string, b string, similarity double")
 
 
 def weighted_jaccard(left, right, n: int, common) -> np.ndarray:

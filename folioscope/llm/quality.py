@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.labelled import fold, training_sample
+from folioscope.llm.scratch import lean
 from folioscope.llm.words import Words, text_chunks
 
 GRAMS = (3, 4, 5)
@@ -127,4 +128,4 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(s)], names=["doc_id", "held_out", "score"])
 
     rows = docs.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double")
+    return rows.mapInArrow(lean(run), "doc_id long, held_out boolean, score double")

@@ -9,10 +9,15 @@ temporary folder is made.
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
+import gc
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
@@ -50,5 +55,29 @@ def clear(spark: SparkSession) -> int:
     return n
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for ``mapInArrow`` or ``mapInPandas``, with memory given back at the end
+    of each task.  Python workers live on for later tasks, and what their allocators
+    keep adds up in executors that run several operators."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
+def give_back() -> None:
+    """Return free memory of this process to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

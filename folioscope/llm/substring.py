@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscope.llm.scratch import shuffle_partitions
+from folioscope.llm.scratch import lean, shuffle_partitions
 from folioscope.llm.words import SPACE, Words, mix, ragged, sorted_groups, text_chunks, window_hash, window_min
 
 RUN = 256  # windows in one packed string at most
@@ -249,9 +249,9 @@ def remove_repeated(docs: DataFrame, window: int = 35, gram: int = 4, text_col:
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     buckets = parts * buckets_per_partition
-    packed = docs.select(text_col).mapInArrow(_pack(window, gram, buckets, flush), "bucket int, blob binary")
+    packed = docs.select(text_col).mapInArrow(lean(_pack(window, gram, buckets, flush)), "bucket int, blob binary")
     dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    spans = dealt.mapInArrow(_count(window, part_bytes), "key binary, start int, end int")
+    spans = dealt.mapInArrow(lean(_count(window, part_bytes)), "key binary, start int, end int")
     per = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("_spans")).withColumnRenamed("key", "_key")
     fresh = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
     own = [f"_c{i}" for i in range(len(fresh))]  # so that no column of ``docs`` clashes
@@ -278,4 +278,4 @@ def remove_repeated(docs: DataFrame, window: int = 35, gram: int = 4, text_col:
                 columns = [batch.column(c).slice(i, j - i) for c in range(len(fresh))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(words.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())], names=[*fresh, "n_words", "n_removed", "kept_text"])
 
-    return joined.mapInArrow(cleaned, schema)
+    return joined.mapInArrow(lean(cleaned), schema)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.labelled import fold, training_sample
-from folioscope.llm.scratch import stage
+from folioscope.llm.scratch import lean, stage
 
 # Insults and abuse in plain English.
 INSULTS = [
@@ -103,7 +103,7 @@ def learn(sample: DataFrame, entries: int = 1000, share: float = 0.6, z: float =
 
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     t, c = n.get(1, 0), n.get(0, 0)
-    counts = sample.select("text", "label").mapInPandas(count, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = sample.select("text", "label").mapInPandas(lean(count), "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
     sure = F.when(F.col("entry").endswith(" "), z).otherwise(z_stem)
     odds = F.log(a / (t + 1)) - F.log(b / (c + 1)) - sure * F.sqrt(1 / a + 1 / b)
@@ -178,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", most: int = 1
         for pdf in frames:
             yield pd.DataFrame({"x": [match.feature(t) for t in pdf["text"]], "y": pdf["label"].astype("float64")})
 
-    rows = sample.select("text", "label").mapInPandas(values, "x double, y double").toPandas().sort_values(["x", "y"])  # two numbers for each of ``most`` documents
+    rows = sample.select("text", "label").mapInPandas(lean(values), "x double, y double").toPandas().sort_values(["x", "y"])  # two numbers for each of ``most`` documents
     if rows["y"].nunique() < 2:
         slope, intercept = 2.0, -3.0
     else:
@@ -207,7 +207,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float64())], names=["doc_id", "held_out", "score"])
 
     rows = docs.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double")
+    return rows.mapInArrow(lean(run), "doc_id long, held_out boolean, score double")
 
 
 def filter_toxic(docs: DataFrame, model: dict, least: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -220,5 +220,5 @@ def filter_toxic(docs: DataFrame, model: dict, least: float = 0.5, text_col: str
         for batch in batches:
             yield batch.filter(pa.array([one(t.as_py()) < least for t in batch.column(where)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 

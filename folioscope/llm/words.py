@@ -37,7 +37,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             p[0] = 1
             out.append(np.cumprod(p))
         got = _POWERS[base] = tuple(out)
-        if size > 1 << 23:
+        if size > 1 << 21:
             _POWERS.pop(base)  # a giant text: don't keep its table
     return got
 
