@@ -18,10 +18,14 @@ documents, and those are counted everywhere.  If chunks propose more than
 Documents whose least shingle hash is the same count once, so that a large group of
 near copies doesn't make its own shingles common.
 
-Equal texts are one node from the start.  Within a bucket no pairs are made: every
-member is compared with the least and the greatest member of the bucket and of the
-bucket refined by the next bands, at most 4 * bands comparisons a document.  Links
-are joined to classes by ``components``.
+Equal texts are one node from the start.  Texts joined by shared buckets form rooms
+(``components`` of stars, a table with one row per text and band), so each text
+travels once, to the one room that holds all its candidates.  Small rooms share a bin;
+a room over ``block`` texts or ``block_bytes`` is divided by a hash, and every pair of
+its blocks is a group of its own, so no task holds a whole hot room.  In a group every
+pair that shares a bucket is verified unless links already found there join the two,
+which leaves the classes those of all verified pairs.  Groups send back a spanning
+forest of their links; links are joined to classes by ``components``.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing;
 equal texts of one or more words are always one class; repeated rows are copies; an
@@ -40,8 +44,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.components import components
-from folioscope.llm.scratch import lean, stage
-from folioscope.llm.words import Words, mix, text_chunks, window_hash
+from folioscope.llm.scratch import give_back, lean, shuffle_partitions, stage
+from folioscope.llm.words import Words, mix, ragged, sorted_groups, text_chunks, window_hash
 
 _LOG = -np.log((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
 _UNIT = ((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
@@ -165,9 +169,12 @@ def common_shingles(docs: DataFrame, text_col: str, size: int, share: float, flo
     return keys[order], np.maximum(np.log(1 / f[order]) / np.log(1 / share), floor)
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands: int = 10, rows: int = 3, common: float = 0.05, floor: float = 0.25, most_proposed: int = 1_000_000, text_col: str = "text") -> DataFrame:
-    """doc_id, class_id (least doc_id of the class), n_links (verified links of its
-    text with other texts), class_texts (different texts in the class) and kept."""
+def near_duplicates(
+    docs: DataFrame, least: float = 0.8, shingle: int = 5, bands: int = 10, rows: int = 3, common: float = 0.05, floor: float = 0.25,
+    most_proposed: int = 1_000_000, block: int = 4096, block_bytes: int = 4_000_000, text_col: str = "text",
+) -> DataFrame:
+    """doc_id, class_id (least doc_id of the class), class_texts (different texts in
+    the class) and kept."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     idf = spark.sparkContext.broadcast(common_shingles(docs, text_col, shingle, common, floor, most_proposed))
@@ -192,66 +199,94 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, shingle: int = 5, bands
 
     sketches = texts.select("text").mapInArrow(lean(sketch), "key string, bands array<bigint>").groupBy("key").agg(F.first("bands").alias("bands"))
     sketches = stage(sketches, "sketches")
-    nth = lambda i: F.element_at("bands", F.pmod(F.col("band") + i, F.lit(bands)) + 1)
-    member = sketches.select("key", F.posexplode("bands").alias("band", "h"), "bands")
-    member = member.select("key", "band", "h", nth(1).alias("h2"))
-    pairs = None
-    for by in (["band", "h"], ["band", "h", "h2"]):
-        ends = member.groupBy(*by).agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high")
-        near = member.join(ends, by)
-        for end in ("low", "high"):
-            some = near.filter(F.col("key") != F.col(end)).select(F.least("key", end).alias("a"), F.greatest("key", end).alias("b"))
-            pairs = some if pairs is None else pairs.union(some)
-    pairs = stage(pairs.distinct(), "near-pairs")
-    links = stage(_verify(texts, pairs, least, shingle, idf), "near-links")
+    member = sketches.select("key", F.posexplode("bands").alias("band", "h"))
+    ends = member.groupBy("band", "h").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low < high").drop("high")
+    stars = member.join(ends, ["band", "h"]).filter("key != low").select(F.col("low").alias("a"), F.col("key").alias("b"))
+    rooms = components(stars).select(F.col("node").alias("key"), F.col("component").alias("room"))
+    links = stage(_links(texts, sketches, rooms, least, shingle, idf, block, block_bytes), "near-links")
 
     keyed = texts.select("doc_id", F.when(F.col("text").isNotNull(), F.md5(F.col("text"))).alias("key"))
     classes = components(links).withColumnRenamed("component", "class")
-    both = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    nodes = sketches.select("key").join(classes, F.col("key") == F.col("node"), "left").drop("node").join(both, F.col("key") == F.col("node"), "left").drop("node")
-    nodes = nodes.select("key", F.coalesce("class", "key").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    nodes = sketches.select("key").join(classes, F.col("key") == F.col("node"), "left").select("key", F.coalesce("class", "key").alias("class"))
     nodes = stage(keyed.groupBy("key").agg(F.min("doc_id").alias("first_id")).join(nodes, "key"), "near-classes")
     named = nodes.groupBy("class").agg(F.min("first_id").alias("class_id"), F.count(F.lit(1)).alias("class_texts"))
-    known = nodes.join(named, "class").select("key", "class_id", "n_links", "class_texts")
+    known = nodes.join(named, "class").select("key", "class_id", "class_texts")
     out = keyed.join(known, "key", "left")
     own = F.coalesce("class_id", "doc_id")
-    return out.select("doc_id", own.alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("class_texts", F.lit(1).cast("long")).alias("class_texts"), F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
-
-
-def _verify(texts: DataFrame, pairs: DataFrame, least: float, shingle: int, idf) -> DataFrame:
-    """The pairs whose weighted Jaccard similarity is ``least`` or more."""
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    found = texts.filter("text IS NOT NULL").select(F.md5("text").alias("key"), "text").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    one = pairs.join(found.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-    two = one.join(found.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, scores = [], []
-            for i, j, data, offsets in text_chunks(batch.column(2), 1_000_000):
-                left = shingles(data, offsets, shingle)
-                parts = [shingles(d, o, shingle) + (a,) for a, _, d, o in text_chunks(batch.column(3).slice(i, j - i), 1_000_000)]
-                right = [np.concatenate([p[0] + p[3] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])]
-                s = weighted_jaccard(left, right, j - i, idf.value)
-                at = np.flatnonzero(s >= least)
-                rows.append(at + i)
-                scores.append(s[at])
-            at = np.concatenate(rows) if rows else np.empty(0, dtype=np.int64)
-            kept = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=["a", "b", "similarity"])
-
-    return two.select("a", "b", "text_a", "text_b").mapInArrow(lean(check), "a string, b string, similarity double")
-
-
-def weighted_jaccard(left, right, n: int, common) -> np.ndarray:
-    """sum of minima / sum of maxima for each of ``n`` pairs of rows."""
-    doc = np.concatenate([left[0], right[0]])
-    value = np.concatenate([left[1], right[1]])
-    weight = weigh(value, np.concatenate([left[2], right[2]]), common)
-    total = np.bincount(doc, weights=weight, minlength=n)
-    order = np.lexsort((value, doc))
-    doc, value, weight = doc[order], value[order], weight[order]
-    same = np.flatnonzero((doc[1:] == doc[:-1]) & (value[1:] == value[:-1]))
-    low = np.bincount(doc[same], weights=np.minimum(weight[same], weight[same + 1]), minlength=n)
-    top = total - low
-    return np.divide(low, top, out=np.zeros(n), where=top > 0)
+    return out.select("doc_id", own.alias("class_id"), F.coalesce("class_texts", F.lit(1).cast("long")).alias("class_texts"), F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
+
+
+def _links(texts: DataFrame, sketches: DataFrame, rooms: DataFrame, least: float, shingle: int, idf, block: int, block_bytes: int) -> DataFrame:
+    """Links that join what all verified pairs join."""
+    found = texts.filter("text IS NOT NULL").select(F.md5("text").alias("key"), "text").join(rooms, "key").groupBy("key", "room").agg(F.first("text").alias("text"))
+    members = stage(found.join(sketches, "key"), "near-members")
+    size = F.octet_length("text")
+    total = members.agg(F.sum(size)).first()[0] or 0
+    bins = max(2 * shuffle_partitions(texts.sparkSession), 4 * total // block_bytes)
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum(size) / block_bytes)).cast("int")
+    dealt = members.join(members.groupBy("room").agg(blocks.alias("blocks")), "room")
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("key", F.lit("block")), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    bin_of = F.concat(F.lit("bin"), F.pmod(F.xxhash64("room"), F.lit(bins)))
+    dealt = dealt.select(
+        F.when(F.col("blocks") == 1, bin_of).otherwise(F.col("room")).alias("room"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+        "key", "mine", "bands", "text",
+    )
+
+    def linked(key: tuple, table: pa.Table) -> pa.Table:
+        keys = table.column("key").combine_chunks()
+        side = table.column("mine").to_numpy() if key[1].as_py() != key[2].as_py() else None
+        lists = table.column("bands").combine_chunks()
+        bands = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(keys), -1)
+        a, b = joining_pairs(table.column("text").combine_chunks(), bands, side, shingle, least, idf.value)
+        give_back()
+        return pa.table({"a": keys.take(pa.array(a, pa.int64())), "b": keys.take(pa.array(b, pa.int64()))})
+
+    return dealt.groupBy("room", "i", "j").applyInArrow(linked, "a string, b string")
+
+
+def joining_pairs(texts: pa.Array, bands: np.ndarray, side: np.ndarray | None, shingle: int, least: float, common) -> tuple[list[int], list[int]]:
+    """A spanning forest of the pairs of rows that share a band and reach ``least``;
+    with ``side``, of the pairs whose sides differ."""
+    parts = [(i, *shingles(data, offsets, shingle)) for i, _, data, offsets in text_chunks(texts, 1_000_000)]
+    doc = np.concatenate([d + i for i, d, _, _ in parts])
+    value = np.concatenate([v for _, _, v, _ in parts])
+    weight = weigh(value, np.concatenate([t for _, _, _, t in parts]), common)
+    begin = np.searchsorted(doc, np.arange(len(bands) + 1))
+    length = np.diff(begin)
+    total = np.bincount(doc, weights=weight, minlength=len(bands))
+    label = np.arange(len(bands))
+    a: list[int] = []
+    b: list[int] = []
+
+    def similar(r: int, others: np.ndarray) -> np.ndarray:
+        own, own_weight = value[begin[r] : begin[r + 1]], weight[begin[r] : begin[r + 1]]
+        at = ragged(begin[others], length[others])
+        place = np.minimum(np.searchsorted(own, value[at]), len(own) - 1)
+        hit = np.flatnonzero(own[place] == value[at])
+        whose = np.repeat(np.arange(len(others)), length[others])[hit]
+        low = np.bincount(whose, weights=np.minimum(own_weight[place[hit]], weight[at[hit]]), minlength=len(others))
+        return low / (total[r] + total[others] - low) >= least
+
+    for k in range(bands.shape[1]):
+        order, edge = sorted_groups(bands[:, k])
+        for g in np.flatnonzero(np.diff(edge) > 1):
+            bucket = order[edge[g] : edge[g + 1]]
+            for x, r in enumerate(bucket[:-1].tolist()):
+                rest = bucket[x + 1 :]
+                rest = rest[label[rest] != label[r]]
+                if side is not None:
+                    rest = rest[side[rest] != side[r]]
+                if len(rest) and k:  # a pair belongs to the first band it shares
+                    rest = rest[~(bands[rest, :k] == bands[r, :k]).any(axis=1)]
+                many = 16
+                while len(rest):
+                    some, rest = rest[:many], rest[many:]
+                    for o in some[similar(r, some)].tolist():
+                        if label[o] != label[r]:
+                            a.append(r)
+                            b.append(o)
+                            label[label == max(label[o], label[r])] = min(label[o], label[r])
+                    rest = rest[label[rest] != label[r]]
+                    many = min(many * 4, 1024)
+    return a, b

@@ -133,6 +133,38 @@ def test_near_duplicates_equal_brute_force(spark):
     assert minhash.near_duplicates(docs(spark, ["a"]).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [4096, 12])
+def test_near_duplicates_in_a_hot_group_equal_brute_force(spark, block):
+    """Copies with edits of their own: many pairs fall short, so a class holds together by some links only."""
+    r = random.Random(8)
+    base = prose(90, 77, 5000).split()
+    texts = [prose(60, i, 5000) for i in range(20)]
+    for _ in range(90):
+        words = list(base)
+        for _ in range(r.randrange(0, 4)):
+            words[r.randrange(len(words))] = f"w{r.random()}"
+        texts.append(" ".join(words))
+    keys, idf = minhash.common_shingles(docs(spark, texts), "text", 5, 0.05, 0.25, 1_000_000)
+    weight_of = dict(zip(keys.tolist(), idf.tolist(), strict=True))
+    bags = []
+    for t in texts:
+        data = np.frombuffer(t.encode(), dtype=np.uint8)
+        _, value, times = minhash.shingles(data, np.array([0, len(data)]), 5)
+        bags.append({v: n * weight_of.get(v, 1.0) for v, n in zip(value.tolist(), times.tolist(), strict=True)})
+    label = list(range(len(texts)))
+    short = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            low = sum(min(w, bags[j].get(v, 0)) for v, w in bags[i].items())
+            s = low / (sum(bags[i].values()) + sum(bags[j].values()) - low)
+            short += 0.5 < s < 0.8
+            if s >= 0.8 and label[i] != label[j]:
+                a, b = max(label[i], label[j]), min(label[i], label[j])
+                label = [b if x == a else x for x in label]
+    got = minhash.near_duplicates(docs(spark, texts), block=block).toPandas().set_index("doc_id").class_id.to_dict()
+    assert short > 500 and got == dict(enumerate(label))
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(3)
     value = rng.integers(1, 1 << 62, 400).astype(np.uint64)
