@@ -13,7 +13,9 @@ Groups send back link counts per vector and a spanning forest of their links, ne
 all pairs.  Vectors equal in every component are one class from the start.
 
 The index is fitted on at most ``sample`` vectors (those with the smallest hashes of
-their ids); all vectors are indexed.  The number of pivots follows the number of
+their ids); all vectors are indexed.  A sampled vector within twice the link angle of a
+pivot isn't taken as one, so a large group of near copies shares its few pivots and
+lands in the same lists, however large its part of the table.  The number of pivots follows the number of
 vectors, between ``min_pivots`` and ``max_pivots``, so lists keep their length until
 the upper bound, after which block pairs take over.
 
@@ -40,14 +42,22 @@ INDEXED = "rep long, copies long, pivot int, prefix array<int>, unit array<doubl
 LINKS = "a long, b long, n_a long, n_b long"
 
 
-def choose_pivots(vectors: DataFrame, n: int, sample: int, min_pivots: int, max_pivots: int) -> np.ndarray:
-    """Unit vectors, a bounded number, drawn by hash and so the same every time."""
+def choose_pivots(vectors: DataFrame, n: int, sample: int, min_pivots: int, max_pivots: int, least: float) -> np.ndarray:
+    """Unit vectors, a bounded number, drawn by hash and so the same every time; no two
+    within twice the angle of ``least``."""
     many = int(min(max(n // 64, min_pivots), max_pivots, sample))
-    rows = vectors.select("rep", "embedding").orderBy(F.xxhash64("rep", F.lit("pivot"))).limit(many).collect()
+    rows = vectors.select("rep", "embedding").orderBy(F.xxhash64("rep", F.lit("pivot"))).limit(sample).collect()
     widths = [len(r["embedding"]) for r in rows]
     width = max(set(widths), key=widths.count) if widths else 0
     points = np.array([r["embedding"] for r in rows if len(r["embedding"]) == width], dtype=np.float64).reshape(-1, width)
-    return points / np.linalg.norm(points, axis=1, keepdims=True)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    far, taken = math.cos(2 * math.acos(least)), []
+    free = np.ones(len(points), dtype=bool)
+    for i in range(len(points)):
+        if free[i] and len(taken) < many:
+            taken.append(i)
+            free &= points @ points[i] < far
+    return points[taken]
 
 
 def _linked_pairs(one: pd.DataFrame, two: pd.DataFrame | None, pivot: int, least: float, shared: int):
@@ -102,7 +112,7 @@ def link_vectors(vectors: DataFrame, least: float = 0.95, prefix: int = 8, share
     none = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not n:
         return none
-    pivots = choose_pivots(reps, n, sample, min_pivots, max_pivots)
+    pivots = choose_pivots(reps, n, sample, min_pivots, max_pivots, least)
     length = min(prefix, len(pivots))
     need = min(shared, length)
     spread = vectors.sparkSession.sparkContext.broadcast(pivots)

@@ -201,6 +201,19 @@ def test_embedding_links_equal_brute_force(spark):
     assert embed_dedup.link_vectors(table.limit(0)).count() == 0
 
 
+def test_embedding_links_of_a_group_of_a_third(spark):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(6000, 64))
+    v[:2000] = rng.normal(size=64) + rng.normal(scale=0.14, size=(2000, 64))  # cosines of about 0.98
+    v = v.astype(np.float32)
+    got = embed_dedup.link_vectors(vectors(spark, [(i, x.tolist()) for i, x in enumerate(v)]), block=512, min_pivots=2048).toPandas().set_index("vec_id").sort_index()
+    u = v.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.95).sum(1) - 1
+    assert (got.n_links.to_numpy() <= links).all() and got.n_links.sum() >= 0.9 * links.sum()
+    assert (got.component_id[:2000] == 0).all()
+
+
 def test_top_k_with_ties(spark):
     rng = np.random.default_rng(2)
     v = rng.integers(-2, 3, size=(200, 6)) / 64
