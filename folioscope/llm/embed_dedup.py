@@ -12,11 +12,12 @@ every pair of blocks is a group of its own, so no task holds a whole hot list.
 Groups send back link counts per vector and a spanning forest of their links, never
 all pairs.  Vectors equal in every component are one class from the start.
 
-The index is fitted on at most ``sample`` vectors (those with the smallest hashes of
+The index is fitted on at most ``sample`` vectors of a length (those with the smallest hashes of
 their ids); all vectors are indexed.  A sampled vector within twice the link angle of a
 pivot isn't taken as one, so a large group of near copies shares its few pivots and
-lands in the same lists, however large its part of the table.  The number of pivots follows the number of
-vectors, between ``min_pivots`` and ``max_pivots``, so lists keep their length until
+lands in the same lists, however large its part of the table.  Every length of vectors
+has pivots and lists of its own.  The number of pivots of a length follows the number of
+its vectors, between ``min_pivots`` and ``max_pivots``, so lists keep their length until
 the upper bound, after which block pairs take over.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
@@ -42,22 +43,23 @@ INDEXED = "rep long, copies long, pivot int, prefix array<int>, unit array<doubl
 LINKS = "a long, b long, n_a long, n_b long"
 
 
-def choose_pivots(vectors: DataFrame, n: int, sample: int, min_pivots: int, max_pivots: int, least: float) -> np.ndarray:
-    """Unit vectors, a bounded number, drawn by hash and so the same every time; no two
-    within twice the angle of ``least``."""
-    many = int(min(max(n // 64, min_pivots), max_pivots, sample))
-    rows = vectors.select("rep", "embedding").orderBy(F.xxhash64("rep", F.lit("pivot"))).limit(sample).collect()
-    widths = [len(r["embedding"]) for r in rows]
-    width = max(set(widths), key=widths.count) if widths else 0
-    points = np.array([r["embedding"] for r in rows if len(r["embedding"]) == width], dtype=np.float64).reshape(-1, width)
-    points /= np.linalg.norm(points, axis=1, keepdims=True)
-    far, taken = math.cos(2 * math.acos(least)), []
-    free = np.ones(len(points), dtype=bool)
-    for i in range(len(points)):
-        if free[i] and len(taken) < many:
-            taken.append(i)
-            free &= points @ points[i] < far
-    return points[taken]
+def choose_pivots(vectors: DataFrame, sample: int, min_pivots: int, max_pivots: int, least: float) -> dict[int, np.ndarray]:
+    """Unit vectors by length, a bounded number each, drawn by hash and so the same every
+    time; no two within twice the angle of ``least``."""
+    far = math.cos(2 * math.acos(least))
+    chosen = {}
+    for width, n in sorted(tuple(r) for r in vectors.groupBy(F.size("embedding")).count().filter("count > 1").collect()):  # one row per length
+        many = int(min(max(n // 64, min_pivots), max_pivots, sample))
+        rows = vectors.filter(F.size("embedding") == width).select("embedding").orderBy(F.xxhash64("rep", F.lit("pivot"))).limit(sample).collect()
+        points = np.array([r["embedding"] for r in rows], dtype=np.float64).reshape(-1, width)
+        points /= np.linalg.norm(points, axis=1, keepdims=True)
+        taken, free = [], np.ones(len(points), dtype=bool)
+        for i in range(len(points)):
+            if free[i] and len(taken) < many:
+                taken.append(i)
+                free &= points @ points[i] < far
+        chosen[width] = points[taken]
+    return chosen
 
 
 def _linked_pairs(one: pd.DataFrame, two: pd.DataFrame | None, pivot: int, least: float, shared: int):
@@ -112,32 +114,34 @@ def link_vectors(vectors: DataFrame, least: float = 0.95, prefix: int = 8, share
     none = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not n:
         return none
-    pivots = choose_pivots(reps, n, sample, min_pivots, max_pivots, least)
-    length = min(prefix, len(pivots))
-    need = min(shared, length)
+    pivots = choose_pivots(reps, sample, min_pivots, max_pivots, least)
+    first, total = {}, 0
+    for width, points in pivots.items():
+        first[width], total = total, total + len(points)
     spread = vectors.sparkSession.sparkContext.broadcast(pivots)
 
     def described(frames):
-        points = spread.value
         for pdf in frames:
-            pdf = pdf[[len(v) == points.shape[1] for v in pdf["embedding"]]]
-            if not len(pdf):
-                continue
-            v = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-            v = v / np.abs(v).max(axis=1, keepdims=True)
-            v /= np.linalg.norm(v, axis=1, keepdims=True)
-            near = np.argsort(-(v @ points.T), axis=1, kind="stable")[:, :length]
-            for k in range(0, len(pdf), 2048):
-                part, some = pdf.iloc[k : k + 2048], near[k : k + 2048]
-                many = len(part)
-                yield pd.DataFrame({
-                    "rep": np.repeat(part["rep"].to_numpy(), length), "copies": np.repeat(part["copies"].to_numpy(), length), "pivot": some.ravel().astype(np.int32),
-                    "prefix": [x for x in some.astype(np.int32) for _ in range(length)], "unit": [x for x in v[k : k + many] for _ in range(length)],
-                })
+            for width, same in pdf.groupby(pdf["embedding"].map(len)):
+                if width not in first:  # the only vector of its length
+                    continue
+                points = spread.value[width]
+                length = min(prefix, len(points))
+                v = np.stack(same["embedding"].to_numpy()).astype(np.float64)
+                v = v / np.abs(v).max(axis=1, keepdims=True)
+                v /= np.linalg.norm(v, axis=1, keepdims=True)
+                near = np.argsort(-(v @ points.T), axis=1, kind="stable")[:, :length] + first[width]
+                for k in range(0, len(same), 2048):
+                    part, some = same.iloc[k : k + 2048], near[k : k + 2048]
+                    many = len(part)
+                    yield pd.DataFrame({
+                        "rep": np.repeat(part["rep"].to_numpy(), length), "copies": np.repeat(part["copies"].to_numpy(), length), "pivot": some.ravel().astype(np.int32),
+                        "prefix": [x for x in some.astype(np.int32) for _ in range(length)], "unit": [x for x in v[k : k + many] for _ in range(length)],
+                    })
 
     lists = stage(reps.select("rep", "copies", "embedding").mapInPandas(described, INDEXED), "pivot-lists")
     sizes = {r["pivot"]: math.ceil(r["count"] / block) for r in lists.groupBy("pivot").count().collect()}  # one row per pivot
-    split = F.element_at(F.array(*(F.lit(sizes.get(i, 1)) for i in range(len(pivots)))), F.col("pivot") + 1)
+    split = F.element_at(F.array(*(F.lit(sizes.get(i, 1)) for i in range(max(1, total)))), F.col("pivot") + 1)
     mine = F.pmod(F.xxhash64("rep", F.lit("block")), split).cast("int")
     dealt = lists.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), split - 1)))
     dealt = dealt.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).drop("other")
@@ -156,7 +160,7 @@ def link_vectors(vectors: DataFrame, least: float = 0.95, prefix: int = 8, share
         if two is None:
             nb = na
         trees, held = [], 0
-        for x, y in _linked_pairs(one, two, pivot, least, need):
+        for x, y in _linked_pairs(one, two, pivot, least, min(shared, len(one["prefix"].iloc[0]))):
             np.add.at(na, x, cb[y])
             np.add.at(nb, y, ca[x])
             trees.append((ra[x], rb[y]))

@@ -214,6 +214,17 @@ def test_embedding_links_of_a_group_of_a_third(spark):
     assert (got.component_id[:2000] == 0).all()
 
 
+def test_embedding_links_at_every_length(spark):
+    rng = np.random.default_rng(4)
+    pairs = [np.repeat(rng.normal(size=(n, width)), 2, 0) for n, width in ((60, 16), (9, 7), (1, 5))]
+    v = [(x + rng.normal(scale=0.001, size=len(x))).tolist() for p in pairs for x in p] + [[1.0, 2.0, 3.0]]
+    got = embed_dedup.link_vectors(vectors(spark, list(enumerate(v)))).toPandas().set_index("vec_id").sort_index()
+    assert got.n_links.tolist() == [1] * 140 + [0]
+    assert got.component_id.tolist() == [i - i % 2 for i in range(140)] + [140]
+    alone = embed_dedup.link_vectors(vectors(spark, [(1, [1.0]), (2, [1.0, 2.0])])).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in alone) == [(1, 0, 1), (2, 0, 2)]
+
+
 def test_top_k_with_ties(spark):
     rng = np.random.default_rng(2)
     v = rng.integers(-2, 3, size=(200, 6)) / 64
