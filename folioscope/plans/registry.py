@@ -12,7 +12,7 @@ from folioscope.functions import text as tx
 from folioscope.functions import vectors as vec
 from folioscope.functions.stemmer import russian_tokens
 from folioscope.operators import checks, crawl, graph, merge, publish, retrieval, stats
-from folioscope.plans.standins import load, table, with_sql
+from folioscope.plans.standins import all_cites, load, table, with_sql
 from folioscope.sources import copy_dump, snapshots, text_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -567,7 +567,7 @@ def _(s, d):
 def _(s, d):
     from folioscope.sources.snapshots import scratch
 
-    works, cites = load(s, d, "works"), load(s, d, "cites")
+    works, cites = load(s, d, "works"), all_cites(s, d)
     refs = cites.groupBy(F.col("citing").alias("id")).agg(F.collect_set(F.concat(F.lit("W"), F.col("cited"))).alias("refs"))
     records = works.join(refs, "id", "left").select(F.col("key").alias("id"), F.concat(F.lit("10.1/"), "key").alias("doi"), "title", "year", (F.col("id") % 100).alias("cited_by_count"), F.coalesce("refs", F.array().cast("array<string>")).alias("refs"), "embedding")
     ball = crawl.Snowball(records, scratch(s), tau=0.05, hub_cap=95)

@@ -7,6 +7,7 @@ from folioscope.functions import text as tx
 from folioscope.functions import vectors as vec
 from folioscope.functions.stemmer import analyze, stem
 from folioscope.operators import checks, crawl, graph, merge, publish, retrieval, stats
+from folioscope.plans import standins
 from folioscope.sources import copy_dump, snapshots, text_sources
 
 WORK = "id long, key string, title string, year int, kind string, document_id long, embedding array<float>"
@@ -186,6 +187,16 @@ def test_snowball(spark, tmp_path):
     assert {("seed-missing", None), ("keep", "C"), ("drop", "Q"), ("drop", "D")} <= actions
 
 
+def test_all_cites_has_the_edges_of_every_line(spark):
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.01"
+    lines, n = pq.read_table(f"{sf}/lineitem.parquet").to_pandas(), 500
+    want = {(a, b, c) for a, b, c in zip(lines.l_orderkey % n, lines.l_partkey % n, lines.l_linestatus, strict=True) if a != b}
+    got = [tuple(r) for r in standins.all_cites(spark, sf).select("citing", "cited", "source").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_topk_plan_has_no_full_sort(spark):
     w = works(spark, (1, "a", graph.SKELETON, None, [1.0, 0.0]))
     plan = graph.nearest(w, [1.0, 0.0], 3)._jdf.queryExecution().executedPlan().toString()
