@@ -571,5 +571,5 @@ def _(s, d):
     refs = cites.groupBy(F.col("citing").alias("id")).agg(F.collect_set(F.concat(F.lit("W"), F.col("cited"))).alias("refs"))
     records = works.join(refs, "id", "left").select(F.col("key").alias("id"), F.concat(F.lit("10.1/"), "key").alias("doi"), "title", "year", (F.col("id") % 100).alias("cited_by_count"), F.coalesce("refs", F.array().cast("array<string>")).alias("refs"), "embedding")
     ball = crawl.Snowball(records, scratch(s), tau=0.05, hub_cap=95)
-    ball.seed(works.filter("kind = 'our-document' AND id < 100").select(F.col("document_id"), F.col("key").alias("id")))
+    ball.seed(works.filter("kind = 'our-document'").select(F.col("document_id"), F.col("key").alias("id")))
     return ball.run(2).groupBy("depth").agg(F.count(F.lit(1)).alias("nodes"))

@@ -7,7 +7,7 @@ from folioscope.functions import text as tx
 from folioscope.functions import vectors as vec
 from folioscope.functions.stemmer import analyze, stem
 from folioscope.operators import checks, crawl, graph, merge, publish, retrieval, stats
-from folioscope.plans import standins
+from folioscope.plans import registry, standins
 from folioscope.sources import copy_dump, snapshots, text_sources
 
 WORK = "id long, key string, title string, year int, kind string, document_id long, embedding array<float>"
@@ -197,6 +197,37 @@ def test_all_cites_has_the_edges_of_every_line(spark):
     assert len(got) == len(want) and set(got) == want
 
 
+def crawl_by_hand(sf):
+    """Nodes by depth of crawl_levels over every lineitem row and seed; every DOI is different."""
+    import numpy as np
+    import pyarrow.parquet as pq
+
+    e, lines = (pq.read_table(f"{sf}/{t}.parquet").to_pandas() for t in ("embeddings", "lineitem"))
+    ids, n = e.vec_id.tolist(), e.vec_id.max() + 1
+    edges = {(a, b) for a, b in zip(lines.l_orderkey % n, lines.l_partkey % n, strict=True) if a != b}
+    up, down = ({i: set() for i in range(n)} for _ in range(2))
+    for a, b in edges:
+        up[b].add(a)
+        down[a].add(b)
+    unit = {i: v / np.linalg.norm(v) for i, v in zip(ids, np.stack(e.embedding.to_numpy()).astype(float), strict=True)}
+    seeds = [i for i, label in zip(ids, e.label, strict=True) if label == 0]
+    mean = np.mean([unit[i] for i in seeds], axis=0)
+    mean /= np.linalg.norm(mean)
+    known, frontier, sizes = set(seeds), set(seeds), {0: len(seeds)}
+    for depth in (1, 2):
+        cites = {a for b in frontier if b % 100 <= 95 for a in up[b]}
+        found = {i for i in cites | {b for a in frontier for b in down[a]} if i in unit and i not in known and unit[i] @ mean >= 0.05}
+        known |= found
+        frontier, sizes[depth] = found, len(found)  # depths 0 and 1 expand whole
+    return {k: v for k, v in sizes.items() if v}
+
+
+def test_crawl_levels_equal_a_crawl_by_hand(spark):
+    sf = "/root/testdata/sf0.001"
+    got = {r["depth"]: r["nodes"] for r in registry.QUERIES["crawl_levels"](spark, sf).collect()}
+    assert got == crawl_by_hand(sf)
+
+
 def test_topk_plan_has_no_full_sort(spark):
     w = works(spark, (1, "a", graph.SKELETON, None, [1.0, 0.0]))
     plan = graph.nearest(w, [1.0, 0.0], 3)._jdf.queryExecution().executedPlan().toString()
