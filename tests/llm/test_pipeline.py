@@ -14,3 +14,50 @@ def test_stages_on_the_smallest_tables(spark):
     assert docs.count() >= seen[0] >= seen[1] == seen[2] > 0
     out = corpus_pipeline.STAGES[-1][1](spark, now, sf)
     assert out.count() == seen[3] and out.filter("n_tokens < 0 OR ids IS NULL").count() == 0
+
+
+def pipeline_by_hand(rows, bad):
+    """(doc_id, ids) of every document of the mix; rows: (doc_id, text, lang, source, n_chars)."""
+    from collections import Counter
+
+    import duckdb
+    import pandas as pd
+    from test_llm import WORD, brute_windows
+    from tokenizers import Tokenizer
+
+    rows = [r for r in rows if not bad & set(WORD.findall(r[1]))]
+    held = [Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) for w in (WORD.findall(r[1]) for r in rows)]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (held[i] & held[j]).total() >= 0.8 * (held[i] | held[j]).total():
+                label = [label[j] if x == label[i] else x for x in label]
+    rows = [min(r for r, x in zip(rows, label, strict=True) if x == k) for k in sorted(set(label))]
+    cut = brute_windows([r[1] for r in rows], 35)
+    texts = {r[0]: kept if gone else r[1] for r, (_, gone, kept) in zip(rows, cut, strict=True)}
+    documents = pd.DataFrame([(r[0], texts[r[0]], r[3]) for r in rows], columns=["doc_id", "text", "source"])  # noqa: F841
+    taken = duckdb.sql(queries.ORACLE_SQL["op4_source_mix"]).df()
+    lib = Tokenizer.from_file(queries.tokenizer_path())
+    copies = {i: n // size for i, size, n in zip(taken.doc_id, taken["size"], taken.taken, strict=True)}
+    return sorted((i, tuple(lib.encode(t, add_special_tokens=False).ids)) for i, t in texts.items() for _ in range(copies[i])), len(rows), sum(gone > 0 for _, gone, _ in cut)
+
+
+def test_run_equals_the_stages_by_hand(spark, tmp_path):
+    import numpy as np
+    from test_llm import DOCS, prose
+
+    bad = {"vilest", "scumbag", "filthrat"}
+    texts = [prose(100 + i % 9, i, 3000) for i in range(160)]
+    texts = [f"{t} {' '.join(bad)} {' '.join(bad)}" if i % 4 == 1 else t for i, t in enumerate(texts)]
+    texts += [t + f" tail{i}" for i, t in enumerate(texts[:40])]  # near copies, toxic ones among them
+    passage = prose(45, 999, 3000)
+    texts += [f"{prose(70, 500 + i, 3000)}\n{passage}  {prose(60, 600 + i, 3000)}" for i in range(6)]
+    rows = [(i, t, "en", "abc"[min(i % 7, 2)], len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(r[0], 1, int(bool(bad & set(r[1].split())))) for r in rows]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    want, kept, cut = pipeline_by_hand(rows, bad)
+    assert (kept, cut) == (126, 6) and len(want) > 0
+    got = corpus_pipeline.run(spark, f"file://{tmp_path}").collect()
+    assert sorted((r["doc_id"], tuple(np.frombuffer(bytes(r["ids"]), dtype="<u4").tolist())) for r in got) == want
+    assert all(r["n_tokens"] * 4 == len(r["ids"]) for r in got)
