@@ -16,7 +16,8 @@ are found in two passes: a shingle that is common overall is common in some chun
 documents, and those are counted everywhere.  If chunks propose more than
 ``most_proposed`` shingles, the second pass counts all shingles instead.
 Documents whose least shingle hash is the same count once, so that a large group of
-near copies doesn't make its own shingles common.
+near copies doesn't make its own shingles common; the counts are exact for the documents
+counted that way, and a passage that holds the least shingle of many texts counts once.
 
 Equal texts are one node from the start.  Texts joined by shared buckets form rooms
 (``components`` of stars, a table with one row per text and band), so each text
