@@ -44,6 +44,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """Like ``stage``, as a table bucketed by ``column``: grouping it by that column, or
+    cogrouping it with something small, moves none of its rows again."""
+    spark = df.sparkSession
+    label = f"folioscope_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/folioscope/{label}"
+    df.write.bucketBy(buckets, column).option("path", path).saveAsTable(label)
+    _WRITTEN.append(path)
+    return spark.table(label)
+
+
+def settle(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of plans nothing refers to any more; without
+    this they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Bound the bytes of an Arrow batch on its way to Python, unless the session does:
+    ten thousand long texts would else be one batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, size)
+
+
 def clear(spark: SparkSession) -> int:
     """Delete every table written so far; results that read them end with it."""
     jvm = spark.sparkContext._jvm
@@ -62,6 +88,7 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
 
     @functools.wraps(run)
     def task(batches: Iterator) -> Iterator:
+        _tidy_malloc()
         try:
             yield from run(batches)
         finally:
@@ -70,6 +97,15 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return task
 
 
+@functools.cache
+def _tidy_malloc() -> None:
+    """Once a process: freed arrays of 8 MB and more go straight back to the system
+    (glibc would raise that bound with use)."""
+    set_option = getattr(ctypes.CDLL(None), "mallopt", None)  # glibc only
+    if set_option:
+        set_option(-3, 8 << 20)  # M_MMAP_THRESHOLD
+
+
 def give_back() -> None:
     """Return free memory of this process to the system."""
     gc.collect()

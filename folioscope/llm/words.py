@@ -90,10 +90,19 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self) -> np.ndarray:
-        values = self.data.astype(np.uint64)
-        values += np.uint64(1)
-        return mix(range_hash(values, self.starts, self.ends, _P))
+    def hashes(self, piece: int = 1 << 18) -> np.ndarray:
+        """Hash of each word, taken over about ``piece`` bytes of text at a time: a byte
+        needs some thirty bytes while it is hashed."""
+        out = np.empty(len(self), dtype=np.uint64)
+        i = 0
+        while i < len(out):
+            base = self.starts[i]
+            j = max(i + 1, int(np.searchsorted(self.ends, base + piece, "right")))
+            values = self.data[base : self.ends[j - 1]].astype(np.uint64)
+            values += np.uint64(1)
+            out[i:j] = mix(range_hash(values, self.starts[i:j] - base, self.ends[i:j] - base, _P))
+            i = j
+        return out
 
     def joined(self) -> tuple[np.ndarray, np.ndarray]:
         """All words, each followed by one space, and the offset of each word in it

@@ -133,6 +133,24 @@ def test_near_duplicates_equal_brute_force(spark):
     assert minhash.near_duplicates(docs(spark, ["a"]).limit(0)).count() == 0
 
 
+def weighted_bags(texts):
+    """Shingles with tf * (1 + ln(N / df)), df counted over representatives, in plain Python."""
+    held = [collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if (w := WORD.findall(t or "")) else {} for t in texts]
+    key = [hashlib.md5((t or "").encode()).hexdigest() for t in texts]
+    bands = {}
+    for t, k in zip(texts, key, strict=True):
+        data = np.frombuffer((t or "").encode(), dtype=np.uint8)
+        doc, value, _ = minhash.shingles(data, np.array([0, len(data)]), 5)
+        bands[k] = minhash.plain_bands(doc, value)[1].ravel().tolist()
+    least = {}
+    for k, b in bands.items():
+        for at in enumerate(b):
+            least[at] = min(least.get(at, k), k)
+    stands = {k for k, b in bands.items() if b and all(least[at] == k for at in enumerate(b))}
+    df = collections.Counter(x for k, h in dict(zip(key, held, strict=True)).items() if k in stands for x in h)
+    return [{x: n * (1 + np.log(len(stands) / max(1, df[x]))) for x, n in h.items()} for h in held]
+
+
 @pytest.mark.parametrize("block", [4096, 12])
 def test_near_duplicates_in_a_hot_group_equal_brute_force(spark, block):
     """Copies with edits of their own: many pairs fall short, so a class holds together by some links only."""
@@ -144,13 +162,7 @@ def test_near_duplicates_in_a_hot_group_equal_brute_force(spark, block):
         for _ in range(r.randrange(0, 4)):
             words[r.randrange(len(words))] = f"w{r.random()}"
         texts.append(" ".join(words))
-    keys, idf = minhash.common_shingles(docs(spark, texts), "text", 5, 0.05, 0.25, 1_000_000)
-    weight_of = dict(zip(keys.tolist(), idf.tolist(), strict=True))
-    bags = []
-    for t in texts:
-        data = np.frombuffer(t.encode(), dtype=np.uint8)
-        _, value, times = minhash.shingles(data, np.array([0, len(data)]), 5)
-        bags.append({v: n * weight_of.get(v, 1.0) for v, n in zip(value.tolist(), times.tolist(), strict=True)})
+    bags = weighted_bags(texts)
     label = list(range(len(texts)))
     short = 0
     for i in range(len(texts)):
