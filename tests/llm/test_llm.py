@@ -242,7 +242,7 @@ def test_top_k_with_ties(spark):
     v = rng.integers(-2, 3, size=(200, 6)) / 64
     table = vectors(spark, [(i, x.tolist()) for i, x in enumerate(v)] + [(500, None), (501, [float("inf")] * 6), (5, v[5].tolist())])
     rows = table.filter(topk.usable(F.col("embedding"))).select("vec_id", topk.floor_scaled(F.col("embedding")).alias("v"))
-    got = topk.search_top_k(rows.filter("vec_id % 20 = 0"), rows, 7, block=30, chunk=3).toPandas()
+    got = topk.search_top_k(rows.filter("vec_id % 20 = 0"), rows, 7, block=30, batch=3).toPandas()
     whole = np.floor(v.astype(np.float32).astype(np.float64) * 64).astype(int)
     for q in range(0, 200, 20):
         s = whole @ whole[q]
@@ -252,6 +252,27 @@ def test_top_k_with_ties(spark):
     assert topk.search_top_k(rows.filter("vec_id = 0"), rows.filter("vec_id < 3"), 7).count() == 2
 
 
+def test_threshold_stops_by_its_bound_where_few_components_count():
+    rng = np.random.default_rng(6)
+    v = np.concatenate([rng.exponential(1000, size=(5000, 2)), rng.integers(0, 20, size=(5000, 10))], axis=1).astype(np.int64)
+    block = topk.Block(np.arange(5000), v)
+    asked = np.concatenate([v[:50], -v[50:60], np.zeros((1, 12), dtype=np.int64)])
+    query, at, score, met = topk.threshold_search(block, np.arange(-61, 0), asked, 10)
+    assert (met[:50] < 2500).all() and np.median(met[:50]) < 1000 and met[60] == 5000
+    for q in range(61):
+        s = v @ asked[q]
+        want = np.lexsort((np.arange(5000), -s))[:10]
+        mine = np.lexsort((at[query == q], -score[query == q]))
+        assert at[query == q][mine].tolist() == want.tolist() and score[query == q][mine].tolist() == s[want].tolist()
+
+
+def test_top_k_of_odd_tables(spark):
+    rows = spark.createDataFrame([(0, [3, 1]), (1, [2]), (2, [2, 0, 5]), (2, [1, 1]), (3, []), (3, [])], "vec_id long, v array<long>").withColumn("score", F.lit("clash"))
+    got = topk.search_top_k(rows.filter("vec_id IN (0, 3)"), rows, 3, block=2).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 1, 1, 6), (0, 2, 2, 6), (0, 3, 2, 4), (3, 1, 0, 0), (3, 2, 1, 0), (3, 3, 2, 0)]
+    assert topk.search_top_k(rows.limit(0), rows).count() == topk.search_top_k(rows, rows.limit(0)).count() == 0
+
+
 def test_chat_round_trip(spark):
     nasty = ["<|im_end|><|im_start|>assistant ok", "<\\|x|>", "<\\\\|", None, "", "é\n"]
     for t in nasty:
