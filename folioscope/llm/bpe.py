@@ -3,19 +3,20 @@ id-to-piece join.
 
 Encoding.  Tasks cut texts into words (pre-tokens) and group documents into blocks
 of about ``block_bytes``.  A block numbers its distinct words in order of first use;
-a document becomes the list of its words' numbers.  The distinct words of each block
-go to a bucket by their hash, so that a word of the corpus is in one bucket only and
-is encoded there once, whatever the number of its blocks.  Its ids go back to each
-block that asked, and documents are put together from their numbers, position by
-position.  Words and ids travel as compressed lists, not as rows.
-
-Blocks are formed twice, on the way to the buckets and on the way to assembly.  A
-block's name is a digest of its texts; if the two passes ever differ (an input that
-is not the same when read again), assembly finds no ids for a block and raises.
-
-Decoding.  Each id is joined with its piece (a broadcast table bounded by the
-vocabulary, 50,257 pieces for the public file), pieces are joined by position, and
-bytes that are not UTF-8 become U+FFFD.
+a document becomes the list of its words' numbers.  Both are written, once, to a table
+bucketed by block, so texts are cut a single time and nothing hangs on the order in which
+the input would be read again.  The distinct words of each block go to a bucket by their
+hash, so that a word of the corpus is in one bucket only and is encoded there once,
+whatever the number of its blocks.  Its ids go back to each block that asked, and
+documents are put together from their numbers, position by position; the numbered
+documents don't move again.  Words and ids travel as compressed lists, not as rows.
+There are as many buckets as shuffle partitions, so a bucket's words are a task's share of
+the distinct words.
+
+Decoding.  The ids of a batch are joined with their pieces by one gather from the table
+of pieces (broadcast: it is bounded by the vocabulary, 50,257 pieces for the public file),
+the pieces of a document stand one after the other by position, and bytes that are not
+UTF-8 become U+FFFD.
 
 Defined results: a null text is encoded like an empty one, to no ids; equal and
 repeated rows give equal ids; an empty table gives no rows; columns named like a
@@ -25,7 +26,6 @@ Special tokens inside a text are encoded as such, as the library does by default
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
 import zlib
@@ -35,11 +35,13 @@ import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from folioscope.llm.scratch import lean, shuffle_partitions
+from folioscope.llm.scratch import give_back, lean, shuffle_partitions, small_batches, stage_by
 from folioscope.llm.words import ragged
 
 # The pre-token pattern of byte-level BPE, with white space spelled out
@@ -121,62 +123,68 @@ def _numbers_in(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], column: int, path: str, block_bytes: int):
-    """(name, words, rows, numbers of each row): one block after the other.  rows are
-    the Arrow rows of the block, as slices of batches."""
+def _blocks(batches: Iterator[pa.RecordBatch], path: str, block_bytes: int):
+    """(words, slices, numbers of each row) of one block after the other; slices are its
+    Arrow rows, whose first column is the text."""
     split = _splitter(path)
     seen: dict[str, int] = {}
     numbers: list[np.ndarray] = []
     slices: list[pa.RecordBatch] = []
-    name, size = hashlib.md5(), 0
+    size = 0
     for batch in batches:
         begin = 0
-        for i, text in enumerate(batch.column(column)):
+        for i, text in enumerate(batch.column(0)):
             text = text.as_py() or ""
-            raw = text.encode("utf-8", "surrogatepass")
-            name.update(len(raw).to_bytes(8, "little") + raw)
             numbers.append(np.array([seen.setdefault(w, len(seen)) for w in split(text)], dtype=np.uint32))
-            size += len(raw) + 16
+            size += len(text) + 16
             if size > block_bytes:
                 slices.append(batch.slice(begin, i + 1 - begin))
-                yield name.digest(), seen, slices, numbers
-                seen, numbers, slices, name, size, begin = {}, [], [], hashlib.md5(), 0, i + 1
+                yield seen, slices, numbers
+                seen, numbers, slices, size, begin = {}, [], [], 0, i + 1
         if begin < len(batch):
             slices.append(batch.slice(begin))
     if numbers:
-        yield name.digest(), seen, slices, numbers
+        yield seen, slices, numbers
 
 
-WANTED = "bucket int, block binary, blob binary"
+def _words_out(seen: dict[str, int], buckets: int) -> tuple[list[int], list[bytes]]:
+    """A block's distinct words and their numbers, by bucket."""
+    squeeze = zstandard.ZstdCompressor(level=3)
+    lists: dict[int, list[tuple[bytes, int]]] = {}
+    for word, i in seen.items():
+        raw = word.encode("utf-8", "surrogatepass")
+        lists.setdefault(zlib.crc32(raw) % buckets, []).append((raw, i))
+    blobs = []
+    for some in lists.values():
+        sizes = np.array([len(w) for w, _ in some], dtype=np.uint32)
+        parts = _numbers_out(sizes), _numbers_out(np.diff(np.array([0, *(i for _, i in some)], dtype=np.int64)))
+        head = len(some).to_bytes(4, "little") + len(parts[0]).to_bytes(4, "little") + len(parts[1]).to_bytes(4, "little")
+        blobs.append(squeeze.compress(head + b"".join(parts) + b"".join(w for w, _ in some)))
+    return list(lists), blobs
 
 
-def _ask(path: str, block_bytes: int, buckets: int):
-    """Each block's distinct words, by bucket."""
+def _cut(path: str, block_bytes: int, buckets: int, schema: pa.Schema):
+    """Rows of both kinds: a block's words by bucket, and its numbered documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
-        for name, seen, _, _ in _blocks(batches, 0, path, block_bytes):
-            lists: list[list[str]] = [[] for _ in range(buckets)]
-            at: list[list[int]] = [[] for _ in range(buckets)]
-            for word, i in seen.items():
-                b = zlib.crc32(word.encode("utf-8", "surrogatepass")) % buckets
-                lists[b].append(word)
-                at[b].append(i)
-            rows, blobs = [], []
-            for b in range(buckets):
-                if at[b]:
-                    sizes = np.array([len(w.encode("utf-8", "surrogatepass")) for w in lists[b]], dtype=np.uint32)
-                    n = len(sizes)
-                    parts = _numbers_out(sizes), _numbers_out(np.diff(np.array([0, *at[b]], dtype=np.int64)))
-                    head = n.to_bytes(4, "little") + len(parts[0]).to_bytes(4, "little") + len(parts[1]).to_bytes(4, "little")
-                    rows.append(b)
-                    blobs.append(squeeze.compress(head + b"".join(parts) + "".join(lists[b]).encode("utf-8", "surrogatepass")))
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([name] * len(rows), pa.binary()), pa.array(blobs, pa.binary())], names=["bucket", "block", "blob"])
+        block = TaskContext.get().partitionId() << 32
+        for seen, slices, numbers in _blocks(batches, path, block_bytes):
+            to, blobs = _words_out(seen, buckets)
+            n = len(to)
+            blank = [pa.nulls(n, f.type) for f in schema][3:]
+            yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.array(to, pa.int32()), pa.array(blobs, pa.binary()), *blank], schema=schema)
+            at = 0
+            for part in slices:
+                n = len(part)
+                blobs = pa.array([_numbers_out(x) for x in numbers[at : at + n]], pa.binary())
+                at += n
+                yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int32()), blobs, *part.columns[1:]], schema=schema)
+            block += 1
 
     return run
 
 
-def _answer(path: str, most_words: int):
+def _answer(path: str):
     """Encode the words of a bucket, each once, and return every block its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +195,7 @@ def _answer(path: str, most_words: int):
         for batch in batches:
             blocks, blobs = [], []
             for bucket, block, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if bucket != now or len(table) > most_words:  # a full table is begun anew: costs time, never a word
+                if bucket != now:
                     table, now = {}, bucket
                 raw = open_.decompress(blob)
                 a, b = int.from_bytes(raw[4:8], "little"), int.from_bytes(raw[8:12], "little")
@@ -201,80 +209,39 @@ def _answer(path: str, most_words: int):
                 parts = _numbers_out(steps), _numbers_out(np.array([len(i) // 4 for i in ids], dtype=np.uint32)), _numbers_out(np.frombuffer(b"".join(ids), dtype="<u4"))
                 blocks.append(block)
                 blobs.append(squeeze.compress(b"".join(len(p).to_bytes(4, "little") for p in parts) + b"".join(parts)))
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary()), pa.array(blobs, pa.binary())], names=["block", "blob"])
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(blobs, pa.binary())], names=["block", "blob"])
 
     return run
 
 
-def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", keep: list[str] | None = None, block_bytes: int = 12_000_000, most_words: int = 2_000_000) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", keep: list[str] | None = None, block_bytes: int = 12_000_000) -> DataFrame:
     """``keep`` columns of ``docs`` (all, if None) with ids: 32-bit little-endian ids,
     one after the other, as binary."""
     spark = docs.sparkSession
+    small_batches(spark)
     parts = shuffle_partitions(spark)
     keep = [c for c in (docs.columns if keep is None else keep) if c != "ids"]
-    texts = docs.select(text_col)
-    asked = texts.mapInArrow(lean(_ask(tokenizer_path, block_bytes, parts)), WANTED).repartition(parts, "bucket").sortWithinPartitions("bucket")
-    answers = asked.mapInArrow(lean(_answer(tokenizer_path, most_words)), "block binary, blob binary")
-    rows = docs.select(text_col, *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep) if c != text_col))
-    carried = [f for f in rows.schema.fields if f.name.startswith("_k")]
-    with_text = text_col in keep
-    form = T.StructType([T.StructField("block", T.BinaryType()), T.StructField("kind", T.IntegerType()), T.StructField("blob", T.BinaryType()), *([T.StructField("_text", T.StringType())] if with_text else []), *carried])
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, slices, numbers in _blocks(batches, 0, tokenizer_path, block_bytes):
-            at = 0
-            for part in slices:
-                n = len(part)
-                blobs = [_numbers_out(x) for x in numbers[at : at + n]]
-                at += n
-                more = [part.column(0)] if with_text else []
-                yield pa.RecordBatch.from_arrays([pa.array([name] * n, pa.binary()), pa.array([1] * n, pa.int32()), pa.array(blobs, pa.binary()), *more, *part.columns[1:]], names=form.names)
-
-    numbered = rows.mapInArrow(lean(number), form)
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in form.fields[3:]]
-    both = numbered.unionByName(answers.select("block", F.lit(0).alias("kind"), "blob", *blank))
-    both = both.repartition(parts, "block").sortWithinPartitions("block", "kind")
-    out = T.StructType([T.StructField(f.name, f.dataType) for f in form.fields[3:]] + [T.StructField("ids", T.BinaryType())])
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = docs.select(F.col(text_col).alias("_text"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)))
+    fields = [T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("blob", T.BinaryType())]
+    form = T.StructType([*fields, *(T.StructField(f.name, f.dataType) for f in rows.schema.fields[1:])])
+    cut = stage_by(rows.mapInArrow(lean(_cut(tokenizer_path, block_bytes, parts, to_arrow_schema(form))), form), "words", "block", parts)
+    asked = cut.filter("bucket IS NOT NULL").select("bucket", "block", "blob").repartition(parts, "bucket").sortWithinPartitions("bucket")
+    answers = asked.mapInArrow(lean(_answer(tokenizer_path)), "block long, blob binary")
+    numbered = cut.filter("bucket IS NULL").drop("bucket")
+    out = T.StructType([*form.fields[3:], T.StructField("ids", T.BinaryType())])
+
+    def assemble(texts: pa.Table, lists: pa.Table) -> pa.Table:
         open_ = zstandard.ZstdDecompressor()
-        now, lists, table = None, [], None
-        for batch in batches:
-            blocks, kinds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ids, rows = [], []
-
-            def flush():
-                done = batch.take(pa.array(rows, pa.int64()))
-                return pa.RecordBatch.from_arrays([*done.columns[3:], pa.array(ids, pa.binary())], names=out.names)
-
-            size = 0
-            for i, (block, kind) in enumerate(zip(blocks, kinds, strict=True)):
-                if block != now:
-                    now, lists, table = block, [], None
-                blob = batch.column(2)[i].as_py()
-                if not kind:
-                    lists.append(open_.decompress(blob))
-                    continue
-                numbers = _numbers_in(blob)
-                if table is None:
-                    table = _table(lists)
-                    lists = []
-                first, count, flat = table
-                if len(numbers) and (not len(count) or numbers.max() >= len(count) or not count[numbers].all()):
-                    raise RuntimeError("a block's words were not encoded: the input changed between two readings")
-                rows.append(i)
-                ids.append(flat[ragged(first[numbers], count[numbers])].tobytes())
-                size += len(ids[-1])
-                if size > 8_000_000:
-                    yield flush()
-                    ids, rows, size = [], [], 0
-            if rows:
-                yield flush()
-
-    done = both.mapInArrow(lean(assemble), out)
-    names = {f"_k{i}": c for i, c in enumerate(keep)} | {"_text": text_col}
-    back = {names[f.name]: f.name for f in out.fields[:-1]}
-    return done.select(*(F.col(back[c]).alias(c) for c in keep), "ids")
+        first, count, flat = _table([open_.decompress(b) for b in lists.column("blob").to_pylist()])
+        ids = []
+        for blob in texts.column("blob"):
+            numbers = _numbers_in(blob.as_py())
+            ids.append(flat[ragged(first[numbers], count[numbers])].tobytes())
+        give_back()
+        return texts.drop_columns(["block", "blob"]).append_column("ids", pa.array(ids, pa.binary()))
+
+    done = numbered.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(assemble, out)
+    return done.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), "ids")
 
 
 def _table(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -296,27 +263,23 @@ def _table(lists: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its ids."""
+    small_batches(encoded.sparkSession)
     pieces = encoded.sparkSession.sparkContext.broadcast(_pieces(tokenizer_path))
     columns = [c for c in encoded.columns if c != out_col]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in encoded.schema if f.name != out_col] + [T.StructField(out_col, T.StringType())])
     where = columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = pieces.value.__getitem__
+        table = pa.array(pieces.value, pa.large_binary())
         for batch in batches:
-            begin, texts, size = 0, [], 0
-            for i, raw in enumerate(batch.column(where)):
-                ids = np.frombuffer(raw.as_py() or b"", dtype="<u4").tolist()
-                texts.append(b"".join(map(piece, ids)).decode("utf-8", "replace"))
-                size += len(texts[-1])
-                if size > 4_000_000:
-                    yield _with(batch.slice(begin, i + 1 - begin), texts)
-                    begin, texts, size = i + 1, [], 0
-            if texts:
-                yield _with(batch.slice(begin), texts)
-
-    def _with(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, out_col])
+            for a in range(0, len(batch), 256):
+                part = batch.slice(a, 256)
+                raws = [raw or b"" for raw in part.column(where).to_pylist()]
+                ends = np.cumsum([0, *(len(raw) // 4 for raw in raws)])
+                joined = table.take(pa.array(np.frombuffer(b"".join(raws), dtype="<u4")))  # every id with its piece
+                place = np.frombuffer(joined.buffers()[1], dtype=np.int64)[ends].tolist() if ends[-1] else [0] * len(ends)
+                data = joined.buffers()[2].to_pybytes() if ends[-1] else b""
+                texts = [data[s:e].decode("utf-8", "replace") for s, e in zip(place[:-1], place[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*columns, out_col])
 
     return encoded.select(*columns).mapInArrow(lean(run), schema)
-

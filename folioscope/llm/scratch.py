@@ -39,7 +39,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return it as read from there."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/folioscope/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -50,7 +50,7 @@ def stage_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
     label = f"folioscope_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/folioscope/{label}"
-    df.write.bucketBy(buckets, column).option("path", path).saveAsTable(label)
+    df.write.bucketBy(buckets, column).option("compression", "zstd").option("path", path).saveAsTable(label)
     _WRITTEN.append(path)
     return spark.table(label)
 

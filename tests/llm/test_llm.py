@@ -99,7 +99,7 @@ def test_bpe_equals_the_library(spark):
     r = random.Random(4)
     wild = ["".join(chr(r.choice([r.randrange(32, 127), r.randrange(0x80, 0x800), r.randrange(0x3000, 0xD000), r.randrange(0x10000, 0x20000), 10, 32, 0x1C, 0x85])) for _ in range(60)) for _ in range(60)]
     texts = [*ODD, *wild, "don't  stop\n\n now ՘a 　b", "<|endoftext|>", prose(300, 1)]
-    coded = bpe.decode(bpe.encode(docs(spark, texts).withColumn("blob", F.lit("clash")), path, block_bytes=700, most_words=50), path).toPandas().sort_values("doc_id")
+    coded = bpe.decode(bpe.encode(docs(spark, texts).withColumn("blob", F.lit("clash")), path, block_bytes=700), path).toPandas().sort_values("doc_id")
     for text, ids, back in zip(texts, coded.ids, coded.decoded, strict=True):
         want = lib.encode(text or "", add_special_tokens=False).ids
         assert np.frombuffer(bytes(ids), dtype="<u4").tolist() == want
@@ -110,6 +110,19 @@ def test_bpe_equals_the_library(spark):
     assert [x["decoded"] for x in bpe.decode(odd, path).collect()] == [lib.decode([196, 300, 50256], skip_special_tokens=False), ""]
 
 
+def test_bpe_of_rows_dealt_at_random_and_long_texts(spark):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    lib = Tokenizer.from_file(path)
+    texts = [*(prose(30, i) for i in range(200)), prose(200_000, 7, 50_000), *["same again"] * 9]
+    table = docs(spark, texts).withColumn("doc_id", F.col("doc_id") % 180).repartition(7)  # dealt by round robin; ids repeat
+    got = bpe.decode(bpe.encode(table, path), path).collect()
+    want = sorted((i % 180, t, lib.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts))
+    assert sorted((r["doc_id"], r["text"], np.frombuffer(bytes(r["ids"]), dtype="<u4").tolist()) for r in got) == want
+    assert all(r["decoded"] == r["text"] for r in got)
+
+
 def test_near_duplicates_equal_brute_force(spark):
     base = [prose(120, i, 5000) for i in range(30)]
     near = [re.sub(r"^\S+ \S+", "new start", t) for t in base[:10]]
