@@ -55,6 +55,37 @@ def test_mix_meets_targets_and_repeats(spark):
     assert mixing.mixed_documents(table).columns == table.columns
 
 
+def test_mix_of_repeated_rows_and_ids(spark):
+    texts = [prose(5 + i % 40, i) for i in range(300)]
+    table = docs(spark, texts, ["a", "a", "a", "b"]).withColumns({"doc_id": F.when(F.col("doc_id") < 290, F.col("doc_id") % 150), "copies": F.lit("clash")})
+    table = table.union(table.orderBy("n_chars", "text").limit(3))
+    mixed = mixing.mix(table).toPandas()
+    written = mixing.mixed_documents(table).toPandas()
+    assert len(mixed) == 303 and written.columns.tolist() == table.columns and (written.copies == "clash").all()
+    assert sum(len(WORD.findall(t)) for t in written.text) == (mixed["size"] * mixed.copies).sum()
+    by = mixed.groupby("source").agg(t=("target", "first"), k=("copies", lambda c: (c * mixed.loc[c.index, "size"]).sum()))
+    assert (abs(by.k - by.t) <= 45).all()
+
+
+def test_mix_draws_with_unequal_probabilities(spark):
+    """Realised inclusion over many seeds follows each document's expected copies."""
+    sizes = [5, 20, 300, 900, 2500] * 30
+    table = docs(spark, [prose(n, i) for i, n in enumerate(sizes)], ["a"] * 149 + ["b"]).withColumn("stars", (F.col("doc_id") % 5) + 1).cache()
+    for emphasis, worth in ((None, [1000 + min(n, 1000) for n in sizes]), ("stars", [1000 * (i % 5 + 1) for i in range(150)])):
+        runs = [mixing.mix(table, weights=(1, 4), seed=f"s{k}", emphasis=emphasis).toPandas().set_index("doc_id") for k in range(6)]
+        a = runs[0][runs[0].source == "a"]
+        low, high = 0.0, 1.0
+        for _ in range(100):  # by bisection: the scale at which expected words meet the target
+            c = (low + high) / 2
+            low, high = (c, high) if sum(min(3, c * worth[i]) * sizes[i] for i in a.index) < a.target.iloc[0] else (low, c)
+        want = {i: min(3, low * worth[i]) for i in a.index}
+        got = {i: np.mean([r.copies[i] for r in runs]) for i in a.index}
+        for kind in range(5):
+            some = [i for i in a.index if i % 5 == kind]
+            assert np.mean([got[i] for i in some]) == pytest.approx(np.mean([want[i] for i in some]), abs=0.15)
+        assert len({round(x, 6) for x in want.values()}) > 3
+
+
 def brute_windows(texts, k):
     words = [WORD.findall(t or "") for t in texts]
     count = collections.Counter(tuple(w[i : i + k]) for w in words for i in range(len(w) - k + 1))
