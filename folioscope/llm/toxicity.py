@@ -17,8 +17,10 @@ less than ``share`` of the largest weight are left out: they are chance finds.
 exact, and the lexicon is at most ``entries`` long.
 
 Defined results: null, empty and blank texts have no matches and get the lowest
-score; repeated rows get equal scores; without toxic labels only the plain list
-counts; an empty table gives no rows; ``filter_toxic`` carries all columns.
+score; repeated rows, and equal texts under any id, get equal scores, and ties stay ties;
+without toxic labels only the plain list counts; a null doc_id is scored like any other;
+a very long text is matched whole, in one pass; an empty table gives no rows; ``score``
+carries doc_id only and ``filter_toxic`` all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.labelled import fold, training_sample
-from folioscope.llm.scratch import lean, stage
+from folioscope.llm.scratch import lean, small_batches, stage
 
 # Insults and abuse in plain English.
 INSULTS = [
@@ -198,6 +200,7 @@ def _scorer(model: dict):
 
 def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """doc_id, held_out and score of every document."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,6 +215,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
 
 def filter_toxic(docs: DataFrame, model: dict, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score is below ``least``, all columns as they are."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     where = docs.columns.index(text_col)
 
