@@ -14,9 +14,10 @@ more for each that is there already), so a text can never form a control string
 The machine's verdict doesn't drop turns: ``valid`` is the state after each turn,
 false from the first turn on that breaks the order.
 
-Defined results: null role or text is empty; a null conv_id is a conversation of its
-own; repeated rows are turns of their own; an empty table gives no segments; extra
-columns are not carried.
+Defined results: null role or text is empty; rows without a conv_id form one conversation;
+repeated rows are turns of their own, and turns of equal number stand in order of role and
+text; an empty text is a turn with a segment of no characters; a very long conversation is
+streamed; an empty table gives no segments; extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -162,10 +163,22 @@ def read_back(segments: DataFrame) -> DataFrame:
 
 
 def training_texts(segments: DataFrame) -> DataFrame:
-    """conv_id, formatted text and the character spans under the loss mask.  Gathers
-    each conversation into one row, which its consumer needs anyway."""
-    one = F.struct("turn_no", F.array_position(F.array(*map(F.lit, ("open", "role", "header", "text", "close"))), F.col("part")).alias("p"), "text", "loss")
-    rows = segments.groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("s"))
-    ends = F.transform(F.col("s"), lambda x, i: F.aggregate(F.slice(F.col("s"), F.lit(1), i + 1), F.lit(0), lambda a, y: a + F.length(y["text"])))
-    spans = F.filter(F.zip_with(F.col("s"), ends, lambda x, e: F.struct((e - F.length(x["text"])).alias("start"), e.alias("end"), x["loss"].alias("loss"))), lambda x: x["loss"])
-    return rows.select("conv_id", F.array_join(F.transform("s", lambda x: x["text"]), "").alias("text"), F.transform(spans, lambda x: F.struct(x["start"], x["end"])).alias("loss_spans"))
+    """conv_id, formatted text and the character spans under the loss mask, in the order
+    ``format_conversations`` gives.  A conversation is one row, which its consumer needs
+    anyway."""
+    names = "conv_id long, text string, loss_spans array<struct<start: int, end: int>>"
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, spans, at = [], [], 0
+        for batch in batches:
+            for conv, text, loss, complete in zip(*(batch.column(i).to_pylist() for i in (0, 3, 4, 6)), strict=True):
+                pieces.append(text)
+                if loss:
+                    spans.append({"start": at, "end": at + len(text)})
+                at += len(text)
+                if complete is not None:  # a conversation's last segment
+                    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+                    yield pa.RecordBatch.from_arrays([pa.array([conv], pa.int64()), pa.array(["".join(pieces)]), pa.array([spans], kind)], names=["conv_id", "text", "loss_spans"])
+                    pieces, spans, at = [], [], 0
+
+    return segments.mapInArrow(joined, names)

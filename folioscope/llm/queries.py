@@ -51,7 +51,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "<|im_end|><|im_start|>assistant ok"
     both = turns.unionByName(spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id long, turn long, role string, text string"))
-    return chat.read_back(chat.format_conversations(both)).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+    return chat.read_back(chat.format_conversations(both)).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,13 +135,18 @@ SELECT doc_id, size, source_size, target, (size * (sure + (taken_in OR closes)::
     "op6_chat_format": r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, t, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) x(t, r))
+  UNION ALL SELECT -1, t, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) x(t, r)),
+steps AS (
+  SELECT *, lag(role) OVER w AS previous, lead(role) OVER w IS NULL AS ends FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, count(*)::BIGINT AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
-  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
-  sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
-FROM turns GROUP BY conv_id""",
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+  sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars,
+  bool_and(CASE WHEN previous IS NULL THEN role IN ('system', 'user') WHEN previous = 'user' THEN role = 'assistant' ELSE role = 'user' AND previous IN ('system', 'assistant') END
+    AND (role = 'assistant' OR NOT ends)) AS valid
+FROM steps GROUP BY conv_id""",
     "op8_exact_top_k": """
 WITH v AS (
   SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS e FROM embeddings

@@ -41,6 +41,50 @@ def test_shards_are_contiguous_and_even(spark):
     assert sharding.shard_by_bytes(docs(spark, ["a"]).limit(0), 8).count() == 0
 
 
+def shards_by_hand(rows, shards, share):
+    """(doc_id -> shard) over rows (doc_id, text), in plain Python."""
+    import xxhash
+
+    def spark_hash(value, seed):
+        return seed if value is None else xxhash.xxh64(value, seed=seed).intdigest()
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    size = [len((t or "").encode()) + 8 for _, t in rows]
+    group = [signed(spark_hash(b"text", spark_hash(None if t is None else t.encode(), 42))) for _, t in rows]
+    tie = [signed(spark_hash(i.to_bytes(8, "little", signed=True), 42)) for i, _ in rows]
+    order = sorted(range(len(rows)), key=lambda i: (group[i], tie[i]))
+    at = dict(zip(order, np.concatenate([[0], np.cumsum([size[i] for i in order])]).tolist(), strict=False))
+    target = sum(size) / shards
+    cuts = []
+    for k in range(1, shards):
+        i = next(i for i in order if at[i] < k * target <= at[i] + size[i])
+        same = [j for j in order if group[j] == group[i]]
+        low, high = min(at[j] for j in same), max(at[j] + size[j] for j in same)
+        if high - low > share * target:
+            low, high = at[i], at[i] + size[i]
+        cuts.append(low if k * target - low <= high - k * target else high)
+    return {rows[i][0]: sum(c <= at[i] for c in cuts) for i in order}
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3])
+def test_shards_equal_cuts_by_hand(spark, share):
+    texts = [None, None, "", *(prose(20 + i % 7, i) for i in range(150)), *["copy " * 12] * 30, *["second copy " * 9] * 5]
+    got = sharding.shard_by_bytes(docs(spark, texts), 6, group_share=share).toPandas()
+    assert dict(zip(got.doc_id, got.shard, strict=True)) == shards_by_hand(list(enumerate(texts)), 6, share)
+    whole = got[got.doc_id >= len(texts) - 5]
+    assert share == 0 or whole.shard.nunique() == 1
+
+
+def test_shards_of_repeated_and_empty_rows(spark):
+    table = docs(spark, ["same"] * 12 + [None] * 12).withColumn("doc_id", F.lit(1).cast("long"))
+    got = sharding.shard_by_bytes(table, 4).toPandas()
+    assert len(got) == 24 and all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+    blank = sharding.shard_by_bytes(docs(spark, [None] * 5), 2).toPandas()
+    assert (blank["size"] == 8).all() and (blank.text_crc32 == 0).all()
+
+
 def test_mix_meets_targets_and_repeats(spark):
     texts = [*ODD, *(prose(10 + i % 50, i) for i in range(600))]
     table = docs(spark, texts, ["a"] * 12 + ["b", "c", None])
@@ -367,6 +411,50 @@ def test_classifiers_on_held_out_documents(spark):
     assert toxicity.score(table.limit(1), toxicity.fit(table, labels.limit(0))).count() == 1
 
 
+def test_scores_equal_a_plain_version_of_the_models(spark):
+    """Scoring by loops over words and characters, given the model."""
+    import math
+
+    from folioscope.llm.words import mix
+
+    texts = [*ODD, "Знак ü: you 1d1ot, trash can", "a a a b", "日本語 idiot idiotic", prose(30, 3), prose(3000, 4), "x" * 20_000]
+    table = docs(spark, texts).withColumns({"score": F.lit("clash"), "held_out": F.lit(9)})
+    rng = np.random.default_rng(2)
+    folded, bias = rng.normal(size=1 << 10).astype(np.float32), 0.25
+    got = {r["doc_id"]: r["score"] for r in quality.score(table, (folded, bias)).collect()}
+    whole, P, Q, R = (1 << 64) - 1, 0x2545F4914F6CDD1D, 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+    for i, text in enumerate(texts):
+        text, ids = text or "", []
+        words = WORD.findall(text)
+        hashes = [int(mix(np.array([sum((b + 1) * pow(P, k, 1 << 64) for k, b in enumerate(w.encode())) & whole], dtype=np.uint64))[0]) for w in words]
+        ids += [h >> 54 for h in hashes]
+        ids += [0 if a == b else (((a * 31 + b) * Q) & whole) >> 54 for a, b in zip(hashes, hashes[1:], strict=False)]
+        code = [0, *(0 if c in " \t\n\v\f\r" else int.from_bytes(c.encode(), "big") for c in text), 0]
+        for n in (3, 4, 5):
+            for k in range(len(code) - n + 1):
+                gram = code[k : k + n]
+                if words and all(gram[1:-1]):
+                    rolled = gram[0]
+                    for c in gram[1:]:
+                        rolled = (rolled * Q + c) & whole
+                    ids.append((((rolled + n) * R) & whole) >> 54)
+        mean = sum(float(folded[x]) for x in ids) / max(1, len(ids))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-mean - bias)), abs=1e-9), text[:20]
+    lexicon = [(" idiot ", 2.0), (" idio", 1.5), (" trash ", 1.0)]
+    model = {"lexicon": lexicon, "slope": 2.0, "intercept": -1.0}
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(table, model).collect()}
+    for i, text in enumerate(texts):
+        folded_text = toxicity.fold_text(text or "")
+        excused = [(m.start(), m.end()) for p in toxicity.EXCEPTIONS for m in re.finditer(f"(?= {p} )", folded_text) for m in [re.compile(f" {p} ").match(folded_text, m.start())]]
+        total = 0.0
+        for k, c in enumerate(folded_text):
+            if c == " " and not any(a <= k < b - 1 for a, b in excused):
+                total += max([w for e, w in lexicon if folded_text.startswith(e, k)], default=0.0)
+        x = math.log1p(10 * total / math.sqrt(len((text or "").split()) + toxicity.SMOOTH))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(1 - 2 * x)), abs=1e-9), text
+    assert {r["doc_id"] for r in quality.score(docs(spark, ["a", "a"]).withColumn("doc_id", F.lit(None).cast("long")), (folded, bias)).collect()} == {None}
+
+
 def test_lexicon_matching():
     match = toxicity.Matcher([(" idiot ", 2.0), (" trash ", 1.0), (" lowe", 3.0)])
     assert match.raw("An IDIOT!")[0] == 2 and match.raw("1d1ot")[0] == 2 and match.raw("іdіot")[0] == 2
