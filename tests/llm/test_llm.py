@@ -152,6 +152,41 @@ def test_substring_equals_brute_force(spark, k):
     assert substring.remove_repeated(docs(spark, ["a"]).limit(0), k).count() == 0
 
 
+def test_substring_splits_a_hot_passage(spark):
+    """A passage in most documents: its buckets are split, and parts hold a bounded share."""
+    passage = prose(60, 99)
+    texts = [f"{prose(40, 300 + i)} {passage} {prose(40, 700 + i)}" for i in range(150)] + [prose(3000, 5)] + [prose(50, i) for i in range(20)]
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        got = substring.remove_repeated(docs(spark, texts).withColumn("n_removed", F.lit(-7)), 35, part_bytes=9000, buckets_per_partition=1).toPandas().sort_values("doc_id")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert list(zip(got.n_words, got.n_removed, got.kept_text, strict=True)) == brute_windows(texts, 35)
+
+
+def test_substring_by_parts_equals_all_at_once():
+    texts = [prose(40, i, 6) for i in range(30)] + [prose(40, 1, 6)] * 5
+    packed = [substring.Words(np.frombuffer(t.encode(), dtype=np.uint8), np.array([0, len(t.encode())])).joined()[0] for t in texts]
+    meta = np.zeros(len(texts), dtype=substring.META)
+    meta["lo"], meta["copies"], meta["bytes"] = range(len(texts)), 1, [len(p) for p in packed]
+    meta["copies"][3] = 2
+    whole = substring.repeated_windows(meta, np.concatenate(packed), 4)
+    import zstandard
+
+    blobs = []
+    for i in range(0, len(texts), 7):
+        head = b"".join(np.ascontiguousarray(meta[i : i + 7][c]).tobytes() for c in substring.META.names)
+        blobs.append(len(meta[i : i + 7]).to_bytes(8, "little") + zstandard.ZstdCompressor().compress(head + np.concatenate(packed[i : i + 7]).tobytes()))
+
+    def covered(spans):
+        return {(s["lo"], w) for s in spans for w in range(s["start"], s["end"])}
+
+    parts = list(substring.repeated_by_parts(blobs, 4, 5))
+    assert len(parts) > 1 and covered(np.concatenate(parts)) == covered(whole)
+    with pytest.raises(substring.Collision):
+        list(substring.repeated_by_parts(blobs, 4, 2, hashed=lambda h, n: np.zeros(max(0, len(h) - n + 1), dtype=np.uint64)))
+
+
 def test_substring_survives_hash_collisions():
     from folioscope.llm.words import Words
 
