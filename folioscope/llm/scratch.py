@@ -2,8 +2,8 @@
 
 Lineage is cut by writing a Parquet table and reading it again, so a lost
 executor costs a re-read and nothing else.  The folder is the one named by
-``spark.checkpoint.dir``; only where the session names none (tests, a laptop) a
-temporary folder is made.
+``spark.checkpoint.dir``.  Where the session names none, a temporary folder is made if
+Spark runs in this one process (tests, a laptop); on a cluster it is an error.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _OWN:
         _OWN.append(tempfile.mkdtemp(prefix="folioscope-"))
         atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
@@ -70,13 +72,27 @@ def small_batches(spark: SparkSession, size: str = "4m") -> None:
         spark.conf.set(name, size)
 
 
-def clear(spark: SparkSession) -> int:
-    """Delete every table written so far; results that read them end with it."""
+def alone(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """``stage`` what ``make`` returns, and delete the tables written on the way to it."""
+    first = len(_WRITTEN)
+    out = stage(make(), name)
+    clear(out.sparkSession, first, len(_WRITTEN) - 1)
+    return out
+
+
+def clear(spark: SparkSession, first: int = 0, end: int | None = None) -> int:
+    """Delete the tables written so far (by their number); results that read them end
+    with it."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    gone = _WRITTEN[first:end]
+    _WRITTEN[first:end] = []
+    for path in gone:
+        label = path.rpartition("/")[2]
+        if label.startswith("folioscope_"):
+            spark.sql(f"DROP TABLE IF EXISTS {label}")
+        path = jvm.org.apache.hadoop.fs.Path(path)
         n += bool(path.getFileSystem(conf).delete(path, True))
     return n
 

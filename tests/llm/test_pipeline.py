@@ -61,3 +61,27 @@ def test_run_equals_the_stages_by_hand(spark, tmp_path):
     got = corpus_pipeline.run(spark, f"file://{tmp_path}").collect()
     assert sorted((r["doc_id"], tuple(np.frombuffer(bytes(r["ids"]), dtype="<u4").tolist())) for r in got) == want
     assert all(r["n_tokens"] * 4 == len(r["ids"]) for r in got)
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty texts, repeated rows, one very long text, clashing names and no rows
+    at all: toxicity, near copies, passages and mix keep the columns and clean rows."""
+    from pyspark.sql import functions as F
+    from test_llm import DOCS, prose
+
+    long = prose(30_000, 3, 20_000)
+    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (2, "", "en", "a", 0), (None, prose(50, 1), "en", "a", 9), (4, long, "en", "b", len(long)), (5, prose(60, 2), "en", "b", 9)]
+    extra = {c: F.lit(-7) for c in ("n_removed", "n_words", "kept_text", "class_id", "kept", "score", "copies", "size", "target", "_n", "key", "part", "_spans")}
+    docs = spark.createDataFrame(rows, DOCS).withColumns(extra)
+    sf = "/root/testdata/sf0.001"
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert all(r[c] == -7 for r in got for c in extra), name
+        assert out.schema == docs.schema or name != "toxicity"
+        texts = [r["text"] for r in got]
+        assert long in texts and len(got) >= (3 if name == "mixing" else len(rows)), name
+        assert step(spark, docs.limit(0), sf).count() == 0
+    ids = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+    assert ids.columns == ["doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "decoded_sha256"] and ids.count() == len(rows)
