@@ -26,7 +26,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,13 +111,13 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", most: int =
     runs in one task over at most ``most`` labelled documents."""
     sample = training_sample(docs, labels, target, most)
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["order", "text"])
-        vectors, out, bias = train(pdf["text"].tolist(), pdf["label"].to_numpy(), bits, **options)
+    def one(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("order", "ascending"), ("text", "ascending")])
+        vectors, out, bias = train(rows.column("text").to_pylist(), rows.column("label").to_numpy(), bits, **options)
         folded = (vectors.astype(np.float64) @ (out[1] - out[0]).astype(np.float64)).astype(np.float32)
-        return pd.DataFrame({"folded": [folded.tobytes()], "bias": [float(bias[1] - bias[0])]})
+        return pa.table({"folded": pa.array([folded.tobytes()], pa.binary()), "bias": [float(bias[1] - bias[0])]})
 
-    got = sample.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(one, "folded binary, bias double").first()
+    got = sample.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(one, "folded binary, bias double").first()
     if got is None:
         return np.zeros(1 << bits, dtype=np.float32), 0.0
     return np.frombuffer(got["folded"], dtype=np.float32), got["bias"]

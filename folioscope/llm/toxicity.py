@@ -31,7 +31,6 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,19 +92,20 @@ def _entries_of(text: str) -> set[str]:
 def learn(sample: DataFrame, entries: int = 1000, share: float = 0.6, z: float = 2.0, z_stem: float = 1.5) -> list[tuple[str, float]]:
     """Entries with weights, the strongest ones first; at most ``entries``."""
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for i in range(0, len(pdf), 500):  # equal texts are one document
-                part = pdf.iloc[i : i + 500].drop_duplicates(["text", "label"])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, len(batch), 500):  # equal texts are one document
+                part = batch.slice(i, 500)
                 seen = (Counter(), Counter())
-                for text, label in zip(part["text"], part["label"], strict=True):
+                for text, label in set(zip(*(c.to_pylist() for c in part.columns), strict=True)):
                     seen[label].update(_entries_of(text))
                 keys = list(seen[1].keys() | seen[0].keys())
-                yield pd.DataFrame({"entry": keys, "toxic": [seen[1][k] for k in keys], "clean": [seen[0][k] for k in keys]})
+                columns = [pa.array(keys, pa.string()), *(pa.array([seen[k][x] for x in keys], pa.int64()) for k in (1, 0))]
+                yield pa.RecordBatch.from_arrays(columns, names=["entry", "toxic", "clean"])
 
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     t, c = n.get(1, 0), n.get(0, 0)
-    counts = sample.select("text", "label").mapInPandas(lean(count), "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = sample.select("text", "label").mapInArrow(lean(count), "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
     sure = F.when(F.col("entry").endswith(" "), z).otherwise(z_stem)
     odds = F.log(a / (t + 1)) - F.log(b / (c + 1)) - sure * F.sqrt(1 / a + 1 / b)
@@ -171,16 +171,18 @@ def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, turns: int = 50
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", most: int = 12000, entries: int = 1000) -> dict:
     """The model: lexicon, slope and intercept."""
+    small_batches(docs.sparkSession)
     sample = stage(training_sample(docs, labels, target, most), "toxic-sample")
     lexicon = learn(sample, entries)
     shared = sample.sparkSession.sparkContext.broadcast(lexicon)
 
-    def values(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = Matcher(shared.value)
-        for pdf in frames:
-            yield pd.DataFrame({"x": [match.feature(t) for t in pdf["text"]], "y": pdf["label"].astype("float64")})
+        for batch in batches:
+            x = [match.feature(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column(1).cast(pa.float64())], names=["x", "y"])
 
-    rows = sample.select("text", "label").mapInPandas(lean(values), "x double, y double").toPandas().sort_values(["x", "y"])  # two numbers for each of ``most`` documents
+    rows = sample.select("text", "label").mapInArrow(lean(values), "x double, y double").toPandas().sort_values(["x", "y"])  # two numbers for each of ``most`` documents
     if rows["y"].nunique() < 2:
         slope, intercept = 2.0, -3.0
     else:
