@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.components import components
-from folioscope.llm.scratch import give_back, lean, settle, shuffle_partitions, small_batches, stage, stage_by
+from folioscope.llm.scratch import alone, give_back, lean, settle, shuffle_partitions, small_batches, stage, stage_by
 from folioscope.llm.words import Words, mix, ragged, sorted_groups, text_chunks, window_hash
 
 PLAIN = 4  # unweighted min-hash bands that tell representatives
@@ -290,15 +290,9 @@ def _copies(base: DataFrame) -> DataFrame:
     return member.join(least, ["band", "h"]).filter("key != low").select("part", "key").distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, least: float = 0.8, shingle: int = 5, bands: int = 10, rows: int = 3,
-    block: int = 4096, block_bytes: int = 4_000_000, text_col: str = "text",
-) -> DataFrame:
-    """doc_id, class_id (least doc_id of the class), class_texts (different texts in
-    the class) and kept."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def _classes(texts: DataFrame, keyed: DataFrame, least: float, shingle: int, bands: int, rows: int, block: int, block_bytes: int) -> DataFrame:
+    """(key, first_id, class) of every text that has words."""
+    spark = texts.sparkSession
     parts = shuffle_partitions(spark)
     met = texts.select("text").mapInArrow(lean(_distinct(shingle, parts)), "part int, key string, text string, bands array<bigint>")
     met = met.repartition(parts, "part").dropDuplicates(["part", "key"])
@@ -320,10 +314,22 @@ def near_duplicates(
     links = stage(_links(base, sketches, rooms, least, shingle, idf(1, total), block, block_bytes), "near-links")
     settle(spark)
 
-    keyed = texts.select("doc_id", F.when(F.col("text").isNotNull(), F.md5(F.col("text"))).alias("key"))
     classes = components(links).withColumnRenamed("component", "class")
     nodes = sketches.select("key").join(classes, F.col("key") == F.col("node"), "left").select("key", F.coalesce("class", "key").alias("class"))
-    nodes = stage(keyed.groupBy("key").agg(F.min("doc_id").alias("first_id")).join(nodes, "key"), "near-classes")
+    return keyed.groupBy("key").agg(F.min("doc_id").alias("first_id")).join(nodes, "key")
+
+
+def near_duplicates(
+    docs: DataFrame, least: float = 0.8, shingle: int = 5, bands: int = 10, rows: int = 3,
+    block: int = 4096, block_bytes: int = 4_000_000, text_col: str = "text",
+) -> DataFrame:
+    """doc_id, class_id (least doc_id of the class), class_texts (different texts in
+    the class) and kept."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    keyed = texts.select("doc_id", F.when(F.col("text").isNotNull(), F.md5(F.col("text"))).alias("key"))
+    nodes = alone("near-classes", lambda: _classes(texts, keyed, least, shingle, bands, rows, block, block_bytes))
     named = nodes.groupBy("class").agg(F.min("first_id").alias("class_id"), F.count(F.lit(1)).alias("class_texts"))
     known = nodes.join(named, "class").select("key", "class_id", "class_texts")
     out = keyed.join(known, "key", "left")

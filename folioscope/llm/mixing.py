@@ -2,9 +2,9 @@
 
 Every source gets a target in words.  Inside a source a document's expected copies are
 proportional to its worth, scaled so that the expected words meet the target, and held
-to ``max_copies``.  Worth is 1000 for a document without words and rises by one with each
-of its first thousand words to 2000, so that scraps are drawn less often than pages; a
-column named by ``emphasis`` replaces it (rounded to thousandths, 0 to 1000).  The whole
+to ``max_copies``.  Worth is 9000 for a document without words and rises by one with each
+of its first thousand words to 10000, so that scraps are drawn somewhat less often than
+pages; a column named by ``emphasis`` replaces it (rounded to thousandths, 0 to 1000).  The whole
 part of the expected copies is allocated for certain.  The fraction p is the inclusion
 probability of one more copy: documents are ranked within their source by the odds of a
 uniform number, hashed from doc_id, divided by the odds of p (Rosen's Pareto order
@@ -88,7 +88,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_copies: int =
     unit = (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
     size = word_count(F.col("text"))
     if emphasis is None:
-        worth = 1000 + F.least(size, F.lit(1000))
+        worth = 9000 + F.least(size, F.lit(1000))
     else:
         worth = F.least(F.greatest(F.round(F.coalesce(F.col(emphasis).cast("double"), F.lit(0.0)) * 1000), F.lit(0)), F.lit(1_000_000))
     sized = stage(docs.select("doc_id", "source", size.alias("size"), unit.alias("_u"), worth.cast("long").alias("_w"), *carry), "mix-sizes")

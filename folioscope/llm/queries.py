@@ -110,7 +110,7 @@ level AS (
   WHERE (total - before_cap)::DOUBLE / (all_w - before_w) * weight <= cap ORDER BY k LIMIT 1),
 targets AS (SELECT source, source_size, least(cap::DOUBLE, (SELECT lv FROM level) * weight) AS target FROM sorted),
 worths AS (
-  SELECT source, 1000 + least(size, 1000) AS w, sum(size)::BIGINT AS z FROM sized WHERE size > 0 GROUP BY ALL),
+  SELECT source, 9000 + least(size, 1000) AS w, sum(size)::BIGINT AS z FROM sized WHERE size > 0 GROUP BY ALL),
 levels AS (
   SELECT x.source, w, (target - 3 * coalesce(sum(z) OVER (PARTITION BY x.source ORDER BY w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
     / (sum(w * z) OVER (PARTITION BY x.source ORDER BY w DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT::DOUBLE AS c
@@ -118,7 +118,7 @@ levels AS (
 scale AS (SELECT source, arg_max(c, w) AS c FROM levels WHERE c * w <= 3 GROUP BY source),
 e AS (
   SELECT s.*, t.source_size, t.target,
-    CASE WHEN t.target <= 0 THEN 0 ELSE coalesce(least(c.c * (1000 + least(s.size, 1000)), 3.0::DOUBLE), 3.0::DOUBLE) END AS e
+    CASE WHEN t.target <= 0 THEN 0 ELSE coalesce(least(c.c * (9000 + least(s.size, 1000)), 3.0::DOUBLE), 3.0::DOUBLE) END AS e
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN scale c ON s.source IS NOT DISTINCT FROM c.source),
 p AS (SELECT *, floor(e)::BIGINT AS sure, e - floor(e) AS p FROM e),
 q AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN u / (1 - u) * (1 - p) / p END AS q FROM p),

@@ -16,12 +16,14 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
-_WRITTEN: list[str] = []
+#: paths written so far; inside ``alone``, those written on the way to its result
+_WRITTEN: ContextVar[list[str]] = ContextVar("written", default=[])
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,7 +44,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/folioscope/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _WRITTEN.append(path)
+    _WRITTEN.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -53,7 +55,7 @@ def stage_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     label = f"folioscope_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/folioscope/{label}"
     df.write.bucketBy(buckets, column).option("compression", "zstd").option("path", path).saveAsTable(label)
-    _WRITTEN.append(path)
+    _WRITTEN.get().append(path)
     return spark.table(label)
 
 
@@ -74,21 +76,28 @@ def small_batches(spark: SparkSession, size: str = "4m") -> None:
 
 def alone(name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """``stage`` what ``make`` returns, and delete the tables written on the way to it."""
-    first = len(_WRITTEN)
-    out = stage(make(), name)
-    clear(out.sparkSession, first, len(_WRITTEN) - 1)
+    before = _WRITTEN.set([])
+    try:
+        df = make()
+    finally:
+        mine = _WRITTEN.get()
+        _WRITTEN.reset(before)
+    out = stage(df, name)
+    _delete(out.sparkSession, mine)
     return out
 
 
-def clear(spark: SparkSession, first: int = 0, end: int | None = None) -> int:
-    """Delete the tables written so far (by their number); results that read them end
-    with it."""
+def clear(spark: SparkSession) -> int:
+    """Delete every table written so far; results that read them end with it."""
+    return _delete(spark, _WRITTEN.get())
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    gone = _WRITTEN[first:end]
-    _WRITTEN[first:end] = []
-    for path in gone:
+    while paths:
+        path = paths.pop()
         label = path.rpartition("/")[2]
         if label.startswith("folioscope_"):
             spark.sql(f"DROP TABLE IF EXISTS {label}")

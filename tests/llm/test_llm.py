@@ -115,7 +115,7 @@ def test_mix_draws_with_unequal_probabilities(spark):
     """Realised inclusion over many seeds follows each document's expected copies."""
     sizes = [5, 20, 300, 900, 2500] * 30
     table = docs(spark, [prose(n, i) for i, n in enumerate(sizes)], ["a"] * 149 + ["b"]).withColumn("stars", (F.col("doc_id") % 5) + 1).cache()
-    for emphasis, worth in ((None, [1000 + min(n, 1000) for n in sizes]), ("stars", [1000 * (i % 5 + 1) for i in range(150)])):
+    for emphasis, worth in ((None, [9000 + min(n, 1000) for n in sizes]), ("stars", [1000 * (i % 5 + 1) for i in range(150)])):
         runs = [mixing.mix(table, weights=(1, 4), seed=f"s{k}", emphasis=emphasis).toPandas().set_index("doc_id") for k in range(6)]
         a = runs[0][runs[0].source == "a"]
         low, high = 0.0, 1.0
