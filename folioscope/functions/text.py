@@ -30,13 +30,22 @@ def simple_phrase_count(text: Column, phrase: list[str]) -> Column:
 
 
 def phrase_count(tokens: Column, phrase: list[str]) -> Column:
-    """At how many positions the tokens of the phrase stand side by side."""
-    if not phrase:
+    """At how many positions the tokens of the phrase stand at the phrase's distances.  A
+    blank token of the phrase is the place of a stop word: any token may stand there, and
+    at the ends it asks for nothing.  A phrase of blanks alone is nowhere."""
+    wanted = [(i, t) for i, t in enumerate(phrase) if t]
+    if not wanted:
         return F.lit(0)
-    k = len(phrase)
-    want = F.array(*map(F.lit, phrase))
-    spots = F.sequence(F.lit(1), F.greatest(F.size(tokens) - k + 1, F.lit(1)))
-    return F.size(F.filter(spots, lambda i: F.slice(tokens, i, k) == want))
+    first, last = wanted[0][0], wanted[-1][0]
+    spots = F.sequence(F.lit(1), F.greatest(F.size(tokens) - (last - first), F.lit(1)))
+
+    def stands(i: Column) -> Column:
+        fits = F.lit(True)
+        for at, t in wanted:
+            fits = fits & F.coalesce(F.get(tokens, i - 1 + (at - first)) == t, F.lit(False))
+        return fits
+
+    return F.size(F.filter(spots, stands))
 
 
 def flat(text: Column) -> Column:
@@ -65,8 +74,11 @@ def doi_suffix(doi: Column) -> Column:
 
 
 def normalize_doi(doi: Column) -> Column:
-    low = F.lower(F.trim(F.coalesce(doi, F.lit(""))))
-    return F.rtrim(F.regexp_replace(low, r"^https?://(dx\.)?doi\.org/", ""), F.lit(".,"))
+    """Lower case, without the two resolver prefixes and without ``.`` and ``,`` at the end."""
+    bare = F.lower(F.trim(F.coalesce(doi, F.lit(""))))
+    for prefix in ("https://doi.org/", "http://dx.doi.org/"):  # fixed values
+        bare = F.replace(bare, F.lit(prefix), F.lit(""))
+    return F.rtrim(bare, F.lit(".,"))
 
 
 def short_id(url: Column) -> Column:

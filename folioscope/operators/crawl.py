@@ -73,6 +73,18 @@ def absorb(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key").agg(first("title"), first("year"), F.sum("cited_by_count").alias("cited_by_count"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("refs")))).alias("refs"), F.min("relation").alias("relation"), F.max("score").alias("score"), F.array_sort(F.collect_set("title")).alias("titles"))
 
 
+def grown(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """Nodes with what was found of them at a later level: their own title, year, relation,
+    score and depth where they have one, counters added up, references and titles united."""
+    more = found.select("key", *(F.col(c).alias(f"_{c}") for c in ("title", "year", "cited_by_count", "refs", "titles")))
+    both = lambda c: F.array_sort(F.array_union(F.coalesce(c, F.array()), F.coalesce(f"_{c}", F.array())))
+    out = {
+        "title": F.coalesce(F.nullif("title", F.lit("")), "_title"), "year": F.coalesce("year", "_year"), "refs": both("refs"), "titles": both("titles"),
+        "cited_by_count": F.coalesce("cited_by_count", F.lit(0)) + F.coalesce("_cited_by_count", F.lit(0)),
+    }
+    return nodes.join(more, "key", "left").withColumns(out).select(*nodes.columns)
+
+
 @dataclass
 class Snowball:
     """records, the stage function that cuts lineage, threshold and hub cap."""
@@ -109,15 +121,15 @@ class Snowball:
         kept = scored.filter("kept")
         key, fresh = union_identities(kept, self.aliases)
         key = self.stage(key, "keys")
-        level = absorb(kept.join(key, "id")).join(self.nodes.select("key"), "key", "left_anti").withColumn("depth", F.lit(depth))
-        level = self.stage(level, "level")
+        found = self.stage(absorb(kept.join(key, "id")), "found")
+        level = self.stage(found.join(self.nodes.select("key"), "key", "left_anti").withColumn("depth", F.lit(depth)), "level")
         self._write(hubs.select(F.lit(depth).alias("depth"), F.col("key").alias("frontier_key"), F.lit("hub-skip").alias("action"), F.col("key").alias("node_key"), F.col("cited_by_count")))
         reason = F.when(F.col("score") <= UNTITLED, "no text to embed").when(F.col("kept"), "relevant").otherwise("below the threshold")
         self._write(scored.join(key.withColumnRenamed("key", "node_key"), "id", "left").select(F.lit(depth).alias("depth"), F.col("hit").alias("frontier_key"), F.col("id").alias("candidate_key"), F.when(F.col("kept"), "keep").otherwise("drop").alias("action"), "node_key", "score", F.lit(self.tau).alias("tau"), "relation", reason.alias("reason")))
         counts = scored.select(F.explode("hits").alias("frontier_key"), "kept").groupBy("frontier_key").agg(F.count(F.lit(1)).alias("n_found"), F.count_if("kept").alias("n_kept"))
         self._write(frontier.select(F.col("key").alias("frontier_key")).join(counts, "frontier_key", "left").fillna(0, ["n_found", "n_kept"]).select(F.lit(depth).alias("depth"), "frontier_key", F.lit("fetch").alias("action"), "n_found", "n_kept"))
         self.aliases = self.stage(self.aliases.unionByName(fresh), "aliases")
-        self.nodes = self.stage(self.nodes.unionByName(level), "nodes")
+        self.nodes = self.stage(grown(self.nodes, found).unionByName(level), "nodes")
         return level
 
     def run(self, depth: int) -> DataFrame:

@@ -3,8 +3,10 @@ document_id, embedding) and cites (citing, cited, source)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,14 @@ def both_directions(cites: DataFrame) -> DataFrame:
 
 
 def centroid_avg(vectors: DataFrame, column: str = "embedding") -> list[float]:
-    """Mean by position, not normalised: one number per dimension comes back."""
-    parts = vectors.filter(F.col(column).isNotNull()).select(F.posexplode(column).alias("p", "x"))
-    return [r["m"] for r in parts.groupBy("p").agg(F.avg(F.col("x").cast("double")).alias("m")).orderBy("p").collect()]
+    """Mean by position, not normalised, over the vectors that have the position: sums by
+    position are made in every partition, and one row of as many numbers comes back."""
+    known = vectors.filter(F.col(column).isNotNull() & (F.size(column) > 0))
+    width = known.agg(F.max(F.size(column))).first()[0]
+    if not width:
+        return []
+    mean = [F.avg(F.get(F.col(column), i).cast("double")) for i in range(width)]
+    return [x for i in range(0, width, 64) for x in known.agg(*mean[i : i + 64]).first()]
 
 
 def centroid_unit(vectors: DataFrame, column: str = "embedding") -> list[float]:
@@ -78,7 +85,8 @@ def citers(works: DataFrame, cites: DataFrame, document_id, depth: int = 1) -> D
 def cocitation(works: DataFrame, cites: DataFrame, min_count: int = 2, max_out_degree: int = 200, limit: int = 500) -> DataFrame:
     """Pairs cited together.  The cap on a citer's rows comes before the pairing: it is
     the meaning of the query and bounds the pairs of one citer."""
-    thin = cites.groupBy("citing").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("cited")).alias("refs")).filter(F.col("n") <= max_out_degree)
+    small = cites.groupBy("citing").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= max_out_degree).select("citing")
+    thin = cites.join(small, "citing", "left_semi").groupBy("citing").agg(F.sort_array(F.collect_set("cited")).alias("refs"))
     first = thin.select("refs", F.posexplode("refs").alias("i", "a"))
     pairs = first.select("a", F.explode(F.slice("refs", F.col("i") + 2, F.greatest(F.size("refs") - F.col("i") - 1, F.lit(0)))).alias("b"))
     counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") >= min_count)
@@ -108,17 +116,28 @@ def kind_census(works: DataFrame, where: Column | None = None) -> DataFrame:
 
 def project(works: DataFrame, cites: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Vertices with their set properties, and numbered edges; always a full rebuild.
-    Edge numbers are digests of the edge: unique and stable without a global sort."""
+    An edge is the triple (start_id, end_id, source); its id is a 64-bit digest of that, stable
+    and without a global sort, but not proof against collisions among billions of edges."""
     vertices = works.select("id", "key", "kind", "year", "title", F.to_json(F.struct("key", "kind", "year", "title")).alias("properties"))
     edges = cites.select(F.xxhash64("citing", "cited", "source").alias("id"), F.col("citing").alias("start_id"), F.col("cited").alias("end_id"), "source")
     return vertices, edges
 
 
 def _digest(lines: DataFrame, line: Column, order: list[str]) -> DataFrame:
-    """md5 of all lines in order.  Blocks of 2^16 lines would change the digest, so the
-    ordered list is built as the format asks: in one value."""
-    text = F.listagg(line, F.lit("\n")).alias("t") if not order else F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, line.alias("l")))), lambda x: x["l"]), "\n")
-    return lines.agg(F.md5(F.coalesce(text, F.lit(""))).alias("digest"))
+    """md5 of all lines in order, one line break between.  A digest is made front to back,
+    so one task reads the sorted lines, but as a stream: it holds a batch at a time."""
+    rows = lines.select(*order, line.alias("_line")).orderBy(*order).select("_line").coalesce(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, between = hashlib.md5(), b""
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                digest.update(between + text.encode())
+                between = b"\n"
+        yield pa.RecordBatch.from_arrays([pa.array([digest.hexdigest()])], names=["digest"])
+
+    done = rows.mapInArrow(run, "digest string")
+    return done.agg(F.coalesce(F.max("digest"), F.md5(F.lit(""))).alias("digest"))  # no partition, no row
 
 
 def projection_digest(works: DataFrame, cites: DataFrame) -> DataFrame:

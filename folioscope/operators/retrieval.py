@@ -9,8 +9,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioscope.functions.stemmer import russian_tokens
 from folioscope.functions.text import phrase_count, simple_phrase_count, simple_tokens, snippet
 from folioscope.functions.vectors import cosine_distance, literal
+from folioscope.operators.ordered import numbered
 
 RRF_K, RANKED = 60, 100
 Analyzer = Callable[[Column], Column]
@@ -20,17 +22,17 @@ def query_tokens(spark, analyzer: Analyzer, query: str) -> list[str]:
     return spark.range(1).select(analyzer(F.lit(query)).alias("t")).first()["t"]
 
 
-def phrase_matches(pages: DataFrame, query: str, analyzer: Analyzer = simple_tokens) -> DataFrame:
+def phrase_matches(pages: DataFrame, query: str, analyzer: Analyzer = russian_tokens) -> DataFrame:
     """Pages that hold the phrase, with the number of times they do."""
     phrase = query_tokens(pages.sparkSession, analyzer, query)
-    if not phrase:
+    if not any(phrase):
         return pages.limit(0).withColumn("hits", F.lit(0))
     if analyzer is simple_tokens:
         return pages.withColumn("hits", simple_phrase_count(F.col("body"), phrase)).filter("hits > 0")
     return pages.withColumn("_t", analyzer(F.col("body"))).withColumn("hits", phrase_count(F.col("_t"), phrase)).filter("hits > 0").drop("_t")
 
 
-def fulltext(pages: DataFrame, query: str, limit: int = 20, analyzer: Analyzer = simple_tokens) -> DataFrame:
+def fulltext(pages: DataFrame, query: str, limit: int = 20, analyzer: Analyzer = russian_tokens) -> DataFrame:
     """In page order, not by relevance."""
     found = phrase_matches(pages, query, analyzer)
     return found.select("document_id", "page_number", snippet(F.col("body")).alias("snippet")).orderBy("document_id", "page_number").limit(limit)
@@ -48,10 +50,8 @@ def vector(pages: DataFrame, target: Sequence[float], limit: int = 20) -> DataFr
 
 
 def exact_ranks(pages: DataFrame, target: Sequence[float]) -> DataFrame:
-    """Every page's rank by (distance, document, page), as a drift probe wants it: a
-    single numbering, so one task sorts narrow rows.  ``rank_of`` finds one page's rank
-    without that."""
-    return by_distance(pages, target).withColumn("rank", F.row_number().over(Window.orderBy("distance", "document_id", "page_number")))
+    """Every page's rank by (distance, document, page), as a drift probe wants it."""
+    return numbered(by_distance(pages, target), ["distance", "document_id", "page_number"], "rank")
 
 
 def rank_of(pages: DataFrame, target: Sequence[float], document_id, page_number: int) -> DataFrame:
@@ -69,7 +69,7 @@ def runner_up(pages: DataFrame, target: Sequence[float]) -> DataFrame:
     return ranked.select("rank", "document_id", "page_number", "distance")
 
 
-def rrf(pages: DataFrame, query: str, target: Sequence[float], limit: int = 20, analyzer: Analyzer = simple_tokens) -> DataFrame:
+def rrf(pages: DataFrame, query: str, target: Sequence[float], limit: int = 20, analyzer: Analyzer = russian_tokens) -> DataFrame:
     """Reciprocal rank fusion of the first hundred of each list."""
     words = phrase_matches(pages, query, analyzer).select("id", "document_id", "page_number", "hits").orderBy(F.col("hits").desc(), "id").limit(RANKED)
     words = words.select("id", F.row_number().over(Window.orderBy(F.col("hits").desc(), "id")).alias("r_text"))
@@ -81,7 +81,7 @@ def rrf(pages: DataFrame, query: str, target: Sequence[float], limit: int = 20,
     return out.select("document_id", "page_number", "score", "snippet").orderBy(F.col("score").desc(), "document_id", "page_number")
 
 
-def search(pages: DataFrame, query: str, mode: str = "fulltext", limit: int = 20, embed: Callable[[str], Sequence[float] | None] | None = None, analyzer: Analyzer = simple_tokens) -> tuple[DataFrame, str | None]:
+def search(pages: DataFrame, query: str, mode: str = "fulltext", limit: int = 20, embed: Callable[[str], Sequence[float] | None] | None = None, analyzer: Analyzer = russian_tokens) -> tuple[DataFrame, str | None]:
     """Result and notice.  Without an embedder vector and hybrid search fall back to
     full text and say so."""
     if mode not in ("fulltext", "vector", "hybrid"):
@@ -93,9 +93,9 @@ def search(pages: DataFrame, query: str, mode: str = "fulltext", limit: int = 20
     return (vector(pages, target, limit) if mode == "vector" else rrf(pages, query, target, limit, analyzer)), None
 
 
-def lexeme_overlap(pages: DataFrame, queries: DataFrame, analyzer: Analyzer = simple_tokens) -> DataFrame:
-    """(query_id, id, overlap): shared lexemes of each query and page that share any,
-    by way of the lexemes: nothing is compared that shares none."""
-    left = queries.select("query_id", F.explode(F.array_distinct(analyzer(F.col("text")))).alias("lexeme"))
-    right = pages.select("id", F.explode(F.array_distinct(analyzer(F.col("body")))).alias("lexeme"))
-    return left.join(right, "lexeme").groupBy("query_id", "id").agg(F.count(F.lit(1)).alias("overlap"))
+def lexeme_overlap(pages: DataFrame, queries: DataFrame, pairs: DataFrame, analyzer: Analyzer = simple_tokens) -> DataFrame:
+    """(query_id, id, lexemes): what each given pair (query_id, id) shares, in order."""
+    left = queries.select("query_id", F.array_distinct(analyzer(F.col("text"))).alias("_q"))
+    right = pages.select("id", F.array_distinct(analyzer(F.col("body"))).alias("_p"))
+    both = pairs.join(left, "query_id").join(right, "id")
+    return both.select("query_id", "id", F.array_sort(F.array_intersect("_q", "_p")).alias("lexemes"))

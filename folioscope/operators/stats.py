@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.operators.ordered import ranged, running
+
+# The points and thresholds reported by default.
 POINTS = (0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 TAUS = (0.50, 0.55, 0.58, 0.60, 0.62, 0.65, 0.70)
 
@@ -16,15 +19,21 @@ def keeps(score: Column, tau: float) -> Column:
     return score >= F.lit(tau)
 
 
-def at_ranks(values: DataFrame, column: str, ranks: DataFrame) -> DataFrame:
-    """The values at given zero-based ranks (a few rows: name, rank).
+def at_ranks(values: DataFrame, column: str, ranks: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The values at given zero-based ranks (a few rows: name, rank and the columns of
+    ``by``, within each of which ranks begin anew).
 
     Equal values are counted first, so what gets a running sum is one row per value;
     ties need no order of their own."""
-    per = values.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("value"))
-    spans = per.select("value", (upto - F.col("n")).alias("lo"), upto.alias("hi"))
-    return spans.join(F.broadcast(ranks), (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))).select("name", "value")
+    by = by or []
+    per = values.filter(F.col(column).isNotNull()).groupBy(*by, F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    upto = running(ranged(per, [*by, "value"]), ["value"], "n", "hi", by)
+    spans = upto.select(*by, "value", (F.col("hi") - F.col("n")).alias("lo"), "hi")
+    inside = (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
+    asked = F.broadcast(ranks.withColumnsRenamed({c: f"_{c}" for c in by}))  # a few rows a group
+    for c in by:
+        inside = inside & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return spans.join(asked, inside).select(*by, "name", "value")
 
 
 def quantiles(values: DataFrame, column: str = "score", points: Sequence[float] = POINTS) -> DataFrame:
@@ -80,17 +89,26 @@ def cost_table(scores: DataFrame, refs: DataFrame, taus: Sequence[float] = TAUS,
 
 def quartiles(values: DataFrame, group: str, column: str = "score") -> DataFrame:
     """n, p25, median, p75 (at n/4, n/2, 3n/4) and mean of each group."""
-    per = values.filter(F.col(column).isNotNull()).groupBy(group, F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(group).orderBy("v")
-    ranked = per.withColumn("hi", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy(group)))
-    at = lambda k: F.max(F.when((k >= F.col("hi") - F.col("c")) & (k < F.col("hi")), F.col("v")))
-    n = F.col("n")
-    return ranked.groupBy(group).agg(F.max("n").alias("n"), at(F.floor(n / 4)).alias("p25"), at(F.floor(n / 2)).alias("median"), at(F.floor(3 * n / 4)).alias("p75"), (F.sum(F.col("v") * F.col("c")) / F.max("n")).alias("mean"))
+    known = values.filter(F.col(column).isNotNull())
+    sizes = known.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg(column).alias("mean"))
+    spots = F.map_from_arrays(F.array(*map(F.lit, ("p25", "median", "p75"))), F.array(*(F.floor(k * F.col("n") / 4) for k in (1, 2, 3))))
+    ranks = sizes.select(group, F.explode(spots).alias("name", "rank"))
+    found = at_ranks(known, column, ranks, [group]).withColumnRenamed(group, "_g")
+    out = sizes.join(found, F.col(group).eqNullSafe(F.col("_g"))).groupBy(group, "n", "mean")
+    return out.agg(*(F.max(F.when(F.col("name") == p, F.col("value"))).alias(p) for p in ("p25", "median", "p75"))).select(group, "n", "p25", "median", "p75", "mean")
 
 
 def percentile_cont(values: DataFrame, column: str, points: Sequence[float]) -> DataFrame:
-    parts = [F.percentile(column, F.lit(float(p))).alias(f"p{round(p * 100):02d}") for p in points]
-    return values.agg(F.min(column).alias("low"), *parts, F.max(column).alias("high"))
+    """low, one column per point (between the two nearest values, in proportion), high."""
+    known = values.filter(F.col(column).isNotNull())
+    ends = known.agg(F.min(column).alias("low"), F.max(column).alias("high"), F.count(F.lit(1)).alias("n"))
+    place = [F.lit(float(p)) * (F.col("n") - 1) for p in points]
+    asked = F.array(*(F.struct(F.lit(f"{side}{i}").alias("name"), cut(x).cast("long").alias("rank")) for i, x in enumerate(place) for side, cut in (("a", F.floor), ("b", F.ceil))))
+    found = at_ranks(known, column, ends.filter("n > 0").select(F.inline(asked)))
+    at = {f"{side}{i}": F.max(F.when(F.col("name") == f"{side}{i}", F.col("value"))).alias(f"{side}{i}") for i in range(len(points)) for side in "ab"}
+    wide = found.agg(*at.values()).crossJoin(ends)  # one row beside one row
+    between = [(F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}")) * (x - F.floor(x))).alias(f"p{round(p * 100):02d}") for i, (p, x) in enumerate(zip(points, place, strict=True))]
+    return wide.select("low", *between, "high")
 
 
 def nearest_to(values: DataFrame, tau: float, column: str = "score", key: str = "candidate_key", limit: int = 10) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from folioscope.functions import text as tx
 from folioscope.functions import vectors as vec
 from folioscope.functions.stemmer import russian_tokens
 from folioscope.operators import checks, crawl, graph, merge, publish, retrieval, stats
-from folioscope.plans.standins import all_cites, load, table, with_sql
+from folioscope.plans.standins import load, table, with_sql
 from folioscope.sources import copy_dump, snapshots, text_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,9 +119,15 @@ def _(s, d):
     return graph.both_directions(load(s, d, "cites")).distinct().groupBy("node").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("projected_vertices", f"{with_sql('works')} SELECT id, key, kind, year, title FROM works")
+@query("projected_vertices", f"""{with_sql('works')} SELECT id, key, kind, year, title,
+  '{{"key":"' || key || '","kind":"' || kind || '"' || coalesce(',"year":' || year, '') || ',"title":"' || title || '"}}' AS properties FROM works""")
 def _(s, d):
-    return graph.project(load(s, d, "works"), load(s, d, "cites"))[0].drop("properties")
+    return graph.project(load(s, d, "works"), load(s, d, "cites"))[0]
+
+
+@query("projected_edges", f"{with_sql('cites')} SELECT citing AS start_id, cited AS end_id, source FROM cites")
+def _(s, d):
+    return graph.project(load(s, d, "works"), load(s, d, "cites"))[1].drop("id")
 
 
 # --- vectors and retrieval -------------------------------------------------------------
@@ -189,12 +195,12 @@ hits AS (SELECT id, document_id, page_number, body, len([i for i in range(1, len
 
 @query("phrase_search", _PHRASE_SQL + " SELECT document_id, page_number, substr(body, 1, 200) AS snippet FROM hits WHERE hits > 0 ORDER BY document_id, page_number LIMIT 20")
 def _(s, d):
-    return retrieval.fulltext(_pages(s, d), PHRASE)
+    return retrieval.fulltext(_pages(s, d), PHRASE, analyzer=tx.simple_tokens)
 
 
 @query("phrase_hits", _PHRASE_SQL + " SELECT count(*) AS pages, sum(hits)::BIGINT AS hits FROM hits WHERE hits > 0")
 def _(s, d):
-    return retrieval.phrase_matches(_pages(s, d), PHRASE).agg(F.count(F.lit(1)).alias("pages"), F.sum("hits").alias("hits"))
+    return retrieval.phrase_matches(_pages(s, d), PHRASE, tx.simple_tokens).agg(F.count(F.lit(1)).alias("pages"), F.sum("hits").alias("hits"))
 
 
 @query("rrf_search", _PHRASE_SQL + f""", {FIRST_PAGE}, {NEAR_PAGES},
@@ -203,14 +209,23 @@ vc AS (SELECT id, row_number() OVER (ORDER BY distance, id) AS r FROM near QUALI
 best AS (SELECT coalesce(ft.id, vc.id) AS id, round(coalesce(1.0::DOUBLE / (60 + ft.r), 0) + coalesce(1.0::DOUBLE / (60 + vc.r), 0), 9) AS score FROM ft FULL JOIN vc ON ft.id = vc.id ORDER BY score DESC, 1 LIMIT 20)
 SELECT p.document_id, p.page_number, b.score, substr(p.body, 1, 200) AS snippet FROM best b JOIN pg p USING (id)""")
 def _(s, d):
-    return retrieval.rrf(_pages(s, d), PHRASE, _target(s, d))
+    return retrieval.rrf(_pages(s, d), PHRASE, _target(s, d), analyzer=tx.simple_tokens)
+
+
+_LEXEMES = "list_sort(list_distinct([t for t in string_split_regex(lower({0}), '[^\\p{{L}}\\p{{N}}]+') if t <> '']))"
 
 
-@query("lexeme_overlap", f"""WITH q AS (SELECT item_id AS query_id, unnest(list_distinct([t for t in string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+') if t <> ''])) AS lexeme FROM benchmark),
-p AS (SELECT doc_id AS id, unnest(list_distinct([t for t in string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+') if t <> ''])) AS lexeme FROM documents)
-SELECT query_id, id, count(*) AS overlap FROM q JOIN p USING (lexeme) GROUP BY ALL""")
+@query("lexeme_overlap", f"""WITH p AS (
+  SELECT item_id AS query_id, doc_id AS id, {_LEXEMES.format('b.text')} AS q, {_LEXEMES.format('d.text')} AS l
+  FROM benchmark b JOIN documents d ON d.doc_id % (SELECT max(item_id) + 1 FROM benchmark) = b.item_id)
+SELECT query_id, id, array_to_string(list_sort(list_intersect(q, l)), ' ') AS lexemes, len(list_intersect(q, l))::BIGINT AS overlap FROM p""")
 def _(s, d):
-    return retrieval.lexeme_overlap(table(s, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body")), table(s, d, "benchmark").select(F.col("item_id").alias("query_id"), "text"))
+    bench, docs = table(s, d, "benchmark"), table(s, d, "documents")
+    n = bench.agg((F.max("item_id") + 1).alias("n"))
+    pairs = docs.crossJoin(F.broadcast(n)).select((F.col("doc_id") % F.col("n")).alias("query_id"), F.col("doc_id").alias("id"))
+    pages, queries = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body")), bench.select(F.col("item_id").alias("query_id"), "text")
+    found = retrieval.lexeme_overlap(pages, queries, pairs)
+    return found.select("query_id", "id", F.array_join("lexemes", " ").alias("lexemes"), F.size("lexemes").cast("long").alias("overlap"))
 
 
 @query("russian_search")
@@ -241,7 +256,7 @@ def _(s, d):
     return s.createDataFrame([(tau,)], "tau double")
 
 
-_REFS = "refs AS (SELECT concat('W', l_orderkey % 503) AS candidate_key, l_partkey AS ref FROM lineitem WHERE l_orderkey < 5000)"
+_REFS = "refs AS (SELECT concat('W', l_orderkey % 503) AS candidate_key, l_partkey AS ref FROM lineitem)"
 _COST_TAUS = (10.0, 25.0, 50.0, 75.0, 90.0)
 
 
@@ -249,7 +264,7 @@ _COST_TAUS = (10.0, 25.0, 50.0, 75.0, 90.0)
 k AS (SELECT tau, (SELECT count(*) FROM journal WHERE score >= tau) AS kept, (SELECT count(DISTINCT ref) FROM journal j JOIN refs r USING (candidate_key) WHERE score >= tau) AS refs FROM t)
 SELECT tau, kept, refs, (ceil(refs / 50.0) + 2 * ceil(kept / 50.0))::BIGINT AS requests FROM k""")
 def _(s, d):
-    refs = table(s, d, "lineitem").filter("l_orderkey < 5000").select(F.concat(F.lit("W"), F.col("l_orderkey") % 503).alias("candidate_key"), F.col("l_partkey").alias("ref")).distinct()
+    refs = table(s, d, "lineitem").select(F.concat(F.lit("W"), F.col("l_orderkey") % 503).alias("candidate_key"), F.col("l_partkey").alias("ref")).distinct()
     return stats.cost_table(_scores(s, d), refs, _COST_TAUS)
 
 
@@ -318,11 +333,11 @@ def _(s, d):
     return table(s, d, "pages").select("page_id", text_sources.html_title(F.col("html")).alias("title"))
 
 
-@query("twin_match", """WITH n AS (SELECT doc_id, regexp_replace(replace(lower(left(text, 60)), 'ё', 'е'), '[^0-9a-zа-я]', '', 'g') AS t FROM documents),
+@query("twin_match", """WITH n AS (SELECT doc_id, regexp_replace(replace(lower(regexp_replace(replace(text, '$', ' '), '\\[a-zA-Z]+', ' ', 'g')), 'ё', 'е'), '[^0-9a-zа-я]', '', 'g') AS t FROM documents),
 idx AS (SELECT t, max(doc_id) AS seed FROM n WHERE doc_id % 2 = 0 AND t <> '' GROUP BY t HAVING count(DISTINCT doc_id) = 1)
 SELECT n.doc_id AS key, i.seed AS document_id, i.seed AS twin_of, 'title+year' AS twin_rule FROM n JOIN idx i USING (t) WHERE n.doc_id % 2 = 1""")
 def _(s, d):
-    rows = table(s, d, "documents").select(F.col("doc_id").alias("key"), F.substring("text", 1, 60).alias("title"), F.lit(None).cast("int").alias("year"), F.lit("").alias("doi"))
+    rows = table(s, d, "documents").select(F.col("doc_id").alias("key"), F.col("text").alias("title"), F.lit(None).cast("int").alias("year"), F.lit("").alias("doi"))
     seeds = rows.filter("key % 2 = 0").select("key", F.col("key").alias("document_id"), F.array("title").alias("titles"), F.lit(None).cast("string").alias("mathnet_id"))
     return merge.find_twins(rows.filter("key % 2 = 1"), seeds, s.createDataFrame([], "document_id long, years array<int>"))
 
@@ -549,27 +564,28 @@ def _(s, d):
     return seeds.join(known, "id", "left").select("id", F.when(F.col("there"), "seed").otherwise("seed-missing").alias("action"))
 
 
-@query("citers_of_records", f"{with_sql('cites')} SELECT DISTINCT citing AS id, cited FROM cites WHERE cited % 25 = 0")
+@query("citers_of_records", f"{with_sql('cites')} SELECT DISTINCT citing AS id, cited FROM cites")
 def _(s, d):
     records = load(s, d, "cites").groupBy(F.col("citing").alias("id")).agg(F.collect_set("cited").alias("refs"))
-    return text_sources.citers_of(records, load(s, d, "works").filter("id % 25 = 0").select("id"))
+    return text_sources.citers_of(records, load(s, d, "works").select("id"))
 
 
 @query("dump_scan")
 def _(s, d):
-    folder = tempfile.mkdtemp(prefix="folioscope-dump-") if not s.conf.get("spark.checkpoint.dir", None) else f"{s.conf.get('spark.checkpoint.dir')}/dump-{id(object())}"
+    folder = f"{snapshots.shared_dir(s)}/dump-{uuid.uuid4().hex}"
     lines = copy_dump.copy_lines(table(s, d, "nation"), "public", "nation").coalesce(1).sortWithinPartitions("ordinal").select("line")
-    lines.write.mode("overwrite").text(folder)
+    lines.write.text(folder)
     return copy_dump.table_of(copy_dump.read_dump(s, f"{folder}/part-*"), "public", "nation", ["n_nationkey", "n_name"])
 
 
 @query("crawl_levels")
 def _(s, d):
-    from folioscope.sources.snapshots import scratch
-
-    works, cites = load(s, d, "works"), all_cites(s, d)
+    works, cites = load(s, d, "works"), load(s, d, "cites")
     refs = cites.groupBy(F.col("citing").alias("id")).agg(F.collect_set(F.concat(F.lit("W"), F.col("cited"))).alias("refs"))
     records = works.join(refs, "id", "left").select(F.col("key").alias("id"), F.concat(F.lit("10.1/"), "key").alias("doi"), "title", "year", (F.col("id") % 100).alias("cited_by_count"), F.coalesce("refs", F.array().cast("array<string>")).alias("refs"), "embedding")
-    ball = crawl.Snowball(records, scratch(s), tau=0.05, hub_cap=95)
+    ball = crawl.Snowball(records, snapshots.scratch(s), tau=0.05, hub_cap=95)
     ball.seed(works.filter("kind = 'our-document'").select(F.col("document_id"), F.col("key").alias("id")))
     return ball.run(2).groupBy("depth").agg(F.count(F.lit(1)).alias("nodes"))
+
+
+from folioscope.plans import package_queries  # noqa: E402, F401  (adds its queries)

@@ -4,7 +4,6 @@ Spark and for the SQL oracle."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 WORKS = """SELECT vec_id AS id, concat('W', vec_id) AS key, concat('Title ', vec_id) AS title,
   CASE WHEN vec_id % 7 = 0 THEN NULL ELSE CAST(1990 + vec_id % 30 AS INT) END AS year,
@@ -12,7 +11,7 @@ WORKS = """SELECT vec_id AS id, concat('W', vec_id) AS key, concat('Title ', vec
   CASE WHEN label = 0 OR vec_id % 4 = 0 THEN vec_id END AS document_id, embedding FROM embeddings"""
 CITES = """SELECT DISTINCT citing, cited, source FROM (
   SELECT l_orderkey % (SELECT max(vec_id) + 1 FROM embeddings) AS citing, l_partkey % (SELECT max(vec_id) + 1 FROM embeddings) AS cited, l_linestatus AS source
-  FROM lineitem WHERE l_linenumber = 1 AND l_orderkey < 2000) e WHERE citing <> cited"""
+  FROM lineitem) e WHERE citing <> cited"""
 BASKETS = "SELECT l_orderkey AS citing, l_partkey AS cited, l_linestatus AS source FROM lineitem"
 PARTS = "SELECT p_partkey AS id, concat('P', p_partkey) AS key, p_name AS title FROM part"
 DOCUMENTS = """SELECT d.doc_id AS id, CASE WHEN d.doc_id % 3 = 0 THEN 'theory/external' ELSE 'theory/iis' END AS source_dir,
@@ -38,14 +37,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql, **frames)
 
 
-def all_cites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The edges of every lineitem row, with the ends of CITES."""
-    n = table(spark, sf_dir, "embeddings").agg((F.max("vec_id") + 1).alias("n"))
-    rows = table(spark, sf_dir, "lineitem").crossJoin(F.broadcast(n))
-    edges = rows.select((F.col("l_orderkey") % F.col("n")).alias("citing"), (F.col("l_partkey") % F.col("n")).alias("cited"), F.col("l_linestatus").alias("source"))
-    return edges.filter("citing <> cited").distinct()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

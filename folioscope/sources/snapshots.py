@@ -1,45 +1,65 @@
 """Versioned tables on plain Parquet, and exports.
 
-A table is a folder of versions and a pointer file that names the current one.  A new
-version is written in full beside the old one, and only then the pointer moves, by one
-rename: readers see the old table or the new one."""
+A table is a folder of versions and numbered pointer files, of which the highest names
+the current version.  A new version is written in full beside the old one, and then its
+pointer appears by one rename to a number that isn't taken: readers see the old table or
+the new one, at no moment none, and of two writers that began from the same version the
+second one fails."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+_OWN: list[str] = []
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def current(spark: SparkSession, table: str) -> str | None:
-    fs, p = _fs(spark, f"{table}/CURRENT")
+def _pointers(spark: SparkSession, table: str) -> list[str]:
+    """Names of the pointer files, in rising order."""
+    fs, p = _fs(spark, table)
     if not fs.exists(p):
-        return None
-    return spark.read.text(f"{table}/CURRENT").first()[0]
+        return []
+    names = (f.getPath().getName() for f in fs.listStatus(p))
+    return sorted(n for n in names if n.startswith("current-"))
 
 
-def publish(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
-    """Write the next version and move the pointer; returns the number of rows written."""
+def current(spark: SparkSession, table: str) -> str | None:
+    found = _pointers(spark, table)
+    return spark.read.text(f"{table}/{found[-1]}").first()[0] if found else None
+
+
+def publish(df: DataFrame, table: str, partition_by: list[str] | None = None, after: str | None = None) -> int:
+    """Write the next version and its pointer; returns the number of rows written.
+    ``after``: the version the new one was made from; RuntimeError if another has been
+    published since."""
     spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex}"
+    known = _pointers(spark, table)
+    if after is not None and current(spark, table) != after:
+        raise RuntimeError(f"{table} has changed since {after}")
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{table}/{version}")
-    fs, target = _fs(spark, f"{table}/CURRENT")
-    _, fresh = _fs(spark, f"{table}/CURRENT-{version}")
+    number = int(known[-1].rpartition("-")[2]) + 1 if known else 1
+    fs, target = _fs(spark, f"{table}/current-{number:012d}")
+    _, fresh = _fs(spark, f"{table}/next-{version}")
     out = fs.create(fresh, True)
     out.write(bytearray(version.encode()))
     out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    fs.rename(fresh, target)
+    if fs.exists(target) or not fs.rename(fresh, target):
+        raise RuntimeError(f"{table} was published by another writer meanwhile")
     return spark.read.parquet(f"{table}/{version}").count()
 
 
@@ -76,17 +96,26 @@ def coverage_report(rows: DataFrame, categories: list[str]) -> DataFrame:
     return known.join(counts, "category", "left").fillna(0, ["n"])
 
 
-def scratch(spark: SparkSession):
-    """A stage function: writes a table to the session's shared folder and reads it
-    again, so a lineage ends there.  Tests without such a folder get a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share.  Without one, a single-process
+    session gets a temporary folder; on a cluster that is an error."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="folioscope-"))
+        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+    return "file://" + _OWN[0]
 
-        base = "file://" + tempfile.mkdtemp(prefix="folioscope-")
+
+def scratch(spark: SparkSession):
+    """A stage function: writes a table to the shared folder and reads it again, so a
+    lineage ends there."""
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        path = f"{base}/{name}-{uuid.uuid4().hex}"
+        path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 

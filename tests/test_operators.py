@@ -170,6 +170,134 @@ def test_snapshot_versions(spark, tmp_path):
     assert snapshots.read(spark, t).count() == 5
 
 
+def test_snapshot_writers_dont_lose_each_other(spark, tmp_path):
+    t = f"file://{tmp_path}/t"
+    snapshots.publish(spark.range(3), t)
+    seen = snapshots.current(spark, t)
+    snapshots.publish(spark.range(4), t, after=seen)
+    with pytest.raises(RuntimeError):
+        snapshots.publish(spark.range(9), t, after=seen)
+    assert snapshots.read(spark, t).count() == 4
+
+
+def test_russian_phrases_keep_their_distances(spark):
+    """Stop words at the ends ask for nothing, inside they are a place any word may take."""
+    texts = ["школа стоит", "и снова школа", "дом большой сад", "дом сад", "сад и дом", "и в на"]
+    pages = spark.createDataFrame([(i, i, 1, t, None) for i, t in enumerate(texts)], "id long, document_id long, page_number int, body string, embedding array<float>")
+
+    def found(query):
+        return [r["document_id"] for r in retrieval.search(pages, query)[0].collect()]
+
+    assert found("в школа") == found("школа") == [0, 1]
+    assert found("дом и сад") == [2] and found("дом сад") == [3] and found("сад в доме") == [4]
+    assert found("и") == [] and found("") == []
+
+
+def test_ranks_over_many_partitions(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = np.round(rng.normal(size=999), 3)
+    rows = spark.createDataFrame([(int(i), "ab"[i % 3 == 0], float(v)) for i, v in enumerate(x)], "id long, g string, score double")
+    got = {r["point"]: r["value"] for r in stats.quantiles(rows).collect()}
+    assert got == {p: sorted(x)[round(p * 998)] for p in stats.POINTS}
+    q = {r["g"]: r for r in stats.quartiles(rows, "g").collect()}
+    for g, mine in (("a", x[np.arange(999) % 3 != 0]), ("b", x[::3])):
+        v = sorted(mine)
+        assert (q[g]["n"], q[g]["p25"], q[g]["median"], q[g]["p75"]) == (len(v), v[len(v) // 4], v[len(v) // 2], v[3 * len(v) // 4])
+    wide = stats.percentile_cont(rows, "score", (0.05, 0.5)).first()
+    assert np.allclose([wide["low"], wide["p05"], wide["p50"], wide["high"]], [x.min(), *np.percentile(x, [5, 50]), x.max()])
+    assert stats.quantiles(rows.limit(0)).count() == 0 and stats.percentile_cont(rows.limit(0), "score", (0.5,)).first()["p50"] is None
+    pages = rows.select("id", (F.col("id") % 7).alias("document_id"), F.col("id").cast("int").alias("page_number"), F.array("score", F.lit(1.0)).alias("embedding"))
+    ranks = retrieval.exact_ranks(pages, [1.0, 0.5]).orderBy("rank").collect()
+    assert [r["rank"] for r in ranks] == list(range(1, 1000))
+    keys = [(r["distance"], r["document_id"], r["page_number"]) for r in ranks]
+    assert keys == sorted(keys)
+
+
+def test_gap_tau_by_hand(spark):
+    scores = [0.1, 0.11, 0.3, 0.31, 0.5, 0.52, 0.54]
+    rows = spark.createDataFrame([(x,) for x in scores], "score double")
+    tau = stats.suggest_tau(rows, width=0.05)
+    median, low = sorted(scores)[3], min(scores)
+    filled = {int((x - low) / 0.05) for x in scores if x <= median}
+    last = int((median - low) / 0.05)
+    empty = max(b for b in range(last) if b not in filled)
+    assert tau == pytest.approx(low + (empty + 0.5) * 0.05)
+
+
+def test_a_node_grows_by_what_is_found_of_it_later(spark):
+    unit = [1.0, 0.0]
+    rows = [("S", "10.1/s", "", None, 5, ["R"], unit), ("T", "https://doi.org/10.1/S", "twin", 2003, 2, ["S", "R"], unit), ("R", "", "ref", 1999, 9, [], unit)]
+    records = spark.createDataFrame(rows, "id string, doi string, title string, year int, cited_by_count long, refs array<string>, embedding array<float>")
+    ball = crawl.Snowball(records, lambda df, n: spark.createDataFrame(df.collect(), df.schema), tau=0.5, hub_cap=100)
+    ball.seed(spark.createDataFrame([("doc", "S")], "document_id string, id string"))
+    node = {r["key"]: r for r in ball.run(1).collect()}
+    assert set(node) == {"S", "R"}
+    assert (node["S"]["title"], node["S"]["year"], node["S"]["cited_by_count"], node["S"]["depth"]) == ("twin", 2003, 7, 0)
+    assert node["S"]["refs"] == ["R", "S"]
+
+
+def test_restore_order_and_other_refusals(spark):
+    from folioscope.operators import package_checks, runs
+    from folioscope.sources import files
+
+    order = package_checks.restore_order(["cites", "work", "run", "row"], [("cites", "work"), ("row", "run"), ("work", "work")])
+    assert order == ["work", "cites", "run", "row"]
+    with pytest.raises(ValueError):
+        package_checks.restore_order(["a", "b"], [("a", "b"), ("b", "a")])
+    assert package_checks.sets_agree(dump=["a", "b"], manifest=["a"], rule=["a", "b"]) == ["b: not in manifest"]
+    assert package_checks.policy_problems({"mode": "x", "owner": " "}, ["topology-only"]) == ["unknown mode 'x'", "no owner"]
+    assert files.scalar(spark.range(0)) is None and files.scalar(spark.range(1)) == 0
+    with pytest.raises(ValueError):
+        files.scalar(spark.range(2))
+    with pytest.raises(ValueError):
+        files.only_row(spark.range(1), 2)
+    with pytest.raises(ValueError):
+        files.ocr_pages(spark.createDataFrame([("a", "x\fy\f")], "path string, text string"), spark.createDataFrame([("a", 3)], "path string, pages int")).count()
+    assert files.absent_tables({"a": spark.range(1), "b": None}, ["a", "b", "c"]) == ["b", "c"]
+    scores = spark.createDataFrame([(f"k{i}", 0.1 + (i > 2) * 0.4 + i / 1000) for i in range(9)], "candidate_key string, score double")
+    table = spark.createDataFrame([(7, "spike", 0.1)], "id long, spike string, tau double")
+    rows = spark.createDataFrame([(7, "old", 0.9)], "run_id long, candidate_key string, score double")
+    table, rows, tau = runs.record_calibration(scores, table, rows, "spike")
+    assert table.first()["id"] == 8 and rows.count() == 9 and {r["run_id"] for r in rows.collect()} == {8} and tau is not None
+    with pytest.raises(runs.NothingToMeasure):
+        runs.record_calibration(scores.limit(0), table, rows)
+    rules = spark.createDataFrame([], "table string, name string, predicate string")
+    data = spark.createDataFrame([("keep",), ("drop",)], "action string")
+    rules, what = runs.ensure_vocabulary(rules, "journal", "action", ["keep", "drop"], data)
+    assert what == "added" and runs.ensure_vocabulary(rules, "journal", "action", ["drop", "keep"], data)[1] == "kept"
+    with pytest.raises(ValueError):
+        runs.ensure_vocabulary(rules, "journal", "action", ["keep"], data)
+    written = spark.createDataFrame([("citation", "work", 3), ("corpus", "pages", 2)], "schema string, table string, rows long")
+    kinds = spark.createDataFrame([("our-document", 3)], "kind string, n long")
+    stamped = runs.stamp_manifest({"profile": "full"}, written, kinds)
+    assert stamped["pages_count"] == 2 and stamped["documents_count"] == 0 and stamped["citation"]["work_count"] == 3 and stamped["citation"]["cites_count"] == 0
+    report = runs.markdown_report("R", spark.createDataFrame([("a|b",)], "t string"), ["t"], old="x\n## Notes\nmine")
+    assert "a\\|b" in report and report.endswith("## Notes\nmine")
+
+
+def test_journal_streams(spark, tmp_path):
+    from folioscope.streaming import journal
+
+    works = spark.createDataFrame([(1, "a"), (2, "b")], "id long, key string")
+    snapshots.publish(works, f"file://{tmp_path}/works")
+    snapshots.publish(spark.createDataFrame([], "citing long, cited long, source string"), f"file://{tmp_path}/cites")
+    spark.createDataFrame([("a", "b", "s"), ("a", "a", "s"), ("a", "gone", "s")], "citing_key string, cited_key string, source string").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("citing_key string, cited_key string, source string").parquet(f"{tmp_path}/in")
+    for _ in range(2):
+        journal.merge_edges(stream, f"file://{tmp_path}/works", f"file://{tmp_path}/cites", f"{tmp_path}/check").awaitTermination()
+    assert [tuple(r) for r in snapshots.read(spark, f"file://{tmp_path}/cites").collect()] == [(1, 2, "s")]
+    texts = spark.createDataFrame([(1, "abc"), (2, " "), (3, "d")], "id long, text string")
+    got = {r["id"]: list(r["embedding"]) for r in journal.embed_pending(texts, lambda ts: [[float(len(t)), 0.0] for t in ts], 2).collect()}
+    assert got == {1: [3.0, 0.0], 3: [1.0, 0.0]}
+
+
+def test_index_rows_and_identifiers(spark):
+    lines = spark.createDataFrame([(1, "| 2009 | `a/b.pdf` | T | x | [url](https://x/1) |"), (2, "| 2010 | `b.pdf` | T | [url](http://y/2) | z |"), (3, "| head |")], "number long, value string")
+    assert [tuple(r) for r in text_sources.index_urls(lines).collect()] == [("b", "http://y/2")]
+
+
 def test_page_split_drops_one_blank(spark):
     docs = spark.createDataFrame([("d", "a\fb\f \n")], "id string, t string")
     assert [r["body"] for r in text_sources.split_pages(docs, "id", F.col("t")).orderBy("page_number").collect()] == ["a", "b"]
@@ -187,13 +315,13 @@ def test_snowball(spark, tmp_path):
     assert {("seed-missing", None), ("keep", "C"), ("drop", "Q"), ("drop", "D")} <= actions
 
 
-def test_all_cites_has_the_edges_of_every_line(spark):
+def test_cites_have_the_edges_of_every_line(spark):
     import pyarrow.parquet as pq
 
     sf = "/root/testdata/sf0.01"
     lines, n = pq.read_table(f"{sf}/lineitem.parquet").to_pandas(), 500
     want = {(a, b, c) for a, b, c in zip(lines.l_orderkey % n, lines.l_partkey % n, lines.l_linestatus, strict=True) if a != b}
-    got = [tuple(r) for r in standins.all_cites(spark, sf).select("citing", "cited", "source").collect()]
+    got = [tuple(r) for r in standins.load(spark, sf, "cites").select("citing", "cited", "source").collect()]
     assert len(got) == len(want) and set(got) == want
 
 
