@@ -23,23 +23,27 @@ the upper bound, after which block pairs take over.
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing, and so do vectors of different lengths; equal vectors
 link with each other; rows repeated in full count once and are returned as often as
-they came; an empty table gives no rows; extra columns are not carried.
+they came; two vectors of one vec_id are two members of their classes, and each row of the
+id gets the larger n_links and the smaller component_id of the two; very long vectors take
+as many bytes a list entry as they have; an empty table gives no rows; extra columns are
+not carried.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioscope.llm.components import components
-from folioscope.llm.scratch import stage
+from folioscope.llm.scratch import lean, small_batches, stage
 from folioscope.llm.topk import usable
 
-INDEXED = "rep long, copies long, pivot int, prefix array<int>, unit array<double>"
 LINKS = "a long, b long, n_a long, n_b long"
 
 
@@ -51,8 +55,7 @@ def choose_pivots(vectors: DataFrame, sample: int, min_pivots: int, max_pivots:
     for width, n in sorted(tuple(r) for r in vectors.groupBy(F.size("embedding")).count().filter("count > 1").collect()):  # one row per length
         many = int(min(max(n // 64, min_pivots), max_pivots, sample))
         rows = vectors.filter(F.size("embedding") == width).select("embedding").orderBy(F.xxhash64("rep", F.lit("pivot"))).limit(sample).collect()
-        points = np.array([r["embedding"] for r in rows], dtype=np.float64).reshape(-1, width)
-        points /= np.linalg.norm(points, axis=1, keepdims=True)
+        points = _units(np.array([r["embedding"] for r in rows], dtype=np.float64).reshape(-1, width))
         taken, free = [], np.ones(len(points), dtype=bool)
         for i in range(len(points)):
             if free[i] and len(taken) < many:
@@ -62,11 +65,28 @@ def choose_pivots(vectors: DataFrame, sample: int, min_pivots: int, max_pivots:
     return chosen
 
 
-def _linked_pairs(one: pd.DataFrame, two: pd.DataFrame | None, pivot: int, least: float, shared: int):
+def _rows(lists: pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    whole = lists.combine_chunks()
+    return whole.flatten().to_numpy(zero_copy_only=False).reshape(len(whole), -1)
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    n, width = rows.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(np.ascontiguousarray(rows).ravel()))
+
+
+def _units(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors in double precision; scaled first, so that no square overflows."""
+    v = vectors.astype(np.float64)
+    v = v / np.abs(v).max(axis=1, keepdims=True)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def _linked_pairs(one: pa.Table, two: pa.Table | None, pivot: int, least: float, shared: int):
     """Positions of verified pairs owned by this list."""
-    u = np.stack(one["unit"].to_numpy())
-    p = np.stack(one["prefix"].to_numpy())
-    w, q = (u, p) if two is None else (np.stack(two["unit"].to_numpy()), np.stack(two["prefix"].to_numpy()))
+    u, p = _units(_rows(one.column("embedding"))), _rows(one.column("prefix"))
+    w, q = (u, p) if two is None else (_units(_rows(two.column("embedding"))), _rows(two.column("prefix")))
     local, flat = np.unique(np.concatenate([p.ravel(), q.ravel()]), return_inverse=True)
     marks = np.zeros((len(p) + len(q), len(local)), dtype=np.float32)
     marks[np.repeat(np.arange(len(marks)), p.shape[1]), flat] = 1
@@ -105,10 +125,13 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def link_vectors(vectors: DataFrame, least: float = 0.95, prefix: int = 8, shared: int = 2, block: int = 2048, sample: int = 4096, min_pivots: int = 32, max_pivots: int = 2048) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of ``vectors``
     (vec_id, embedding)."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    small_batches(vectors.sparkSession)
+    kind = vectors.schema["embedding"].dataType  # vectors travel as they came: four bytes a component, not eight
+    kind = kind if kind.elementType in (T.FloatType(), T.DoubleType()) else T.ArrayType(T.DoubleType())
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     whole = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & usable(F.col("embedding")) & F.exists("embedding", lambda x: x != 0)
     good = rows.filter(whole).distinct()
-    members = good.withColumn("key", F.md5(F.array_join(F.col("embedding").cast("array<string>"), ",")))
+    members = good.withColumn("key", F.md5(F.array_join(F.col("embedding").cast("array<double>").cast("array<string>"), ",")))
     reps = stage(members.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")), "vector-classes")
     n = reps.count()
     none = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
@@ -120,47 +143,47 @@ def link_vectors(vectors: DataFrame, least: float = 0.95, prefix: int = 8, share
         first[width], total = total, total + len(points)
     spread = vectors.sparkSession.sparkContext.broadcast(pivots)
 
-    def described(frames):
-        for pdf in frames:
-            for width, same in pdf.groupby(pdf["embedding"].map(len)):
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = np.diff(pa.concat_arrays([batch.column(2)]).offsets.to_numpy())
+            for width in np.unique(lengths).tolist():
                 if width not in first:  # the only vector of its length
                     continue
                 points = spread.value[width]
                 length = min(prefix, len(points))
-                v = np.stack(same["embedding"].to_numpy()).astype(np.float64)
-                v = v / np.abs(v).max(axis=1, keepdims=True)
-                v /= np.linalg.norm(v, axis=1, keepdims=True)
-                near = np.argsort(-(v @ points.T), axis=1, kind="stable")[:, :length] + first[width]
-                for k in range(0, len(same), 2048):
-                    part, some = same.iloc[k : k + 2048], near[k : k + 2048]
-                    many = len(part)
-                    yield pd.DataFrame({
-                        "rep": np.repeat(part["rep"].to_numpy(), length), "copies": np.repeat(part["copies"].to_numpy(), length), "pivot": some.ravel().astype(np.int32),
-                        "prefix": [x for x in some.astype(np.int32) for _ in range(length)], "unit": [x for x in v[k : k + many] for _ in range(length)],
-                    })
-
-    lists = stage(reps.select("rep", "copies", "embedding").mapInPandas(described, INDEXED), "pivot-lists")
-    sizes = {r["pivot"]: math.ceil(r["count"] / block) for r in lists.groupBy("pivot").count().collect()}  # one row per pivot
-    split = F.element_at(F.array(*(F.lit(sizes.get(i, 1)) for i in range(max(1, total)))), F.col("pivot") + 1)
-    mine = F.pmod(F.xxhash64("rep", F.lit("block")), split).cast("int")
-    dealt = lists.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), split - 1)))
+                same = np.flatnonzero(lengths == width)
+                for k in range(0, len(same), 4096):
+                    part = batch.take(pa.array(same[k : k + 4096]))
+                    raw = _rows(pa.chunked_array([part.column(2)]))
+                    near = np.argsort(-(_units(raw) @ points.T), axis=1, kind="stable")[:, :length].astype(np.int32) + np.int32(first[width])
+                    again = np.repeat(np.arange(len(part)), length)
+                    ids = [part.column(i).take(pa.array(again)) for i in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*ids, pa.array(near.ravel()), _lists(near[again]), _lists(raw[again])], names=indexed.names)
+
+    form = [("rep", T.LongType()), ("copies", T.LongType()), ("pivot", T.IntegerType()), ("prefix", T.ArrayType(T.IntegerType())), ("embedding", kind)]
+    indexed = T.StructType([T.StructField(*f) for f in form])
+    lists = stage(reps.select("rep", "copies", "embedding").mapInArrow(lean(described), indexed), "pivot-lists")
+    sizes = lists.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("split"))  # one row per pivot
+    dealt = lists.join(F.broadcast(sizes), "pivot").withColumn("mine", F.pmod(F.xxhash64("rep", F.lit("block")), F.col("split")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("split") - 1))).drop("split")
     dealt = dealt.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).drop("other")
 
-    def linked(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pivot, i, j = key
-        one = pdf[pdf["mine"] == i]
-        two = None if i == j else pdf[pdf["mine"] == j]
-        empty = pd.DataFrame({"a": [], "b": [], "n_a": [], "n_b": []}, dtype="int64")
+    def linked(key: tuple, table: pa.Table) -> pa.Table:
+        pivot, i, j = (x.as_py() for x in key)
+        mine = table.column("mine").to_numpy()
+        one = table if i == j else table.take(pa.array(np.flatnonzero(mine == i)))
+        two = None if i == j else table.take(pa.array(np.flatnonzero(mine == j)))
+        empty = pa.table({c: pa.array([], pa.int64()) for c in ("a", "b", "n_a", "n_b")})
         if not len(one) or (two is not None and not len(two)):
             return empty
         other = one if two is None else two
-        ra, rb = one["rep"].to_numpy(), other["rep"].to_numpy()
-        ca, cb = one["copies"].to_numpy(), other["copies"].to_numpy()
+        ra, rb = one.column("rep").to_numpy(), other.column("rep").to_numpy()
+        ca, cb = one.column("copies").to_numpy(), other.column("copies").to_numpy()
         na, nb = np.zeros(len(ra), dtype=np.int64), np.zeros(len(rb), dtype=np.int64)
         if two is None:
             nb = na
         trees, held = [], 0
-        for x, y in _linked_pairs(one, two, pivot, least, min(shared, len(one["prefix"].iloc[0]))):
+        for x, y in _linked_pairs(one, two, pivot, least, min(shared, len(one.column("prefix")[0]))):
             np.add.at(na, x, cb[y])
             np.add.at(nb, y, ca[x])
             trees.append((ra[x], rb[y]))
@@ -173,9 +196,9 @@ def link_vectors(vectors: DataFrame, least: float = 0.95, prefix: int = 8, share
         count = dict(zip(ra.tolist(), na.tolist(), strict=True))
         if two is not None:
             count.update(zip(rb.tolist(), nb.tolist(), strict=True))
-        return pd.DataFrame({"a": nodes, "b": roots, "n_a": [count[x] for x in nodes.tolist()], "n_b": np.zeros(len(nodes), dtype=np.int64)})
+        return pa.table({"a": nodes, "b": roots, "n_a": [count[x] for x in nodes.tolist()], "n_b": np.zeros(len(nodes), dtype=np.int64)})
 
-    links = stage(dealt.groupBy("pivot", "i", "j").applyInPandas(linked, LINKS), "vector-links")
+    links = stage(dealt.groupBy("pivot", "i", "j").applyInArrow(linked, LINKS), "vector-links")
     counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("n_a").alias("near"))
     joined = components(links).withColumnRenamed("node", "rep")
     known = reps.select("key", "rep", "copies").join(counts, "rep", "left").join(joined, "rep", "left")
