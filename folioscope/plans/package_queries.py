@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import records as rec
 from folioscope.functions import text as tx
-from folioscope.operators import checks, merge, package_checks, runs, stats
+from folioscope.operators import checks, merge, package_checks, runs, seeding, stats
 from folioscope.plans.registry import PAGES, _pages, query
 from folioscope.plans.standins import load, table, with_sql
-from folioscope.sources import files, text_sources
+from folioscope.sources import copy_dump, files, text_sources
 
 # --- records ---------------------------------------------------------------------------
 RECORDS = """SELECT p_partkey AS n, concat('https://openalex.org/W', p_partkey, CASE WHEN p_partkey % 2 = 0 THEN '/' ELSE '' END) AS id,
@@ -423,3 +423,72 @@ def _(s, d):
 def _(s, d):
     left = table(s, d, "lineitem").filter("l_suppkey % 2 = 0").select(F.col("l_suppkey").alias("k"))
     return checks.set_agreement(left, table(s, d, "supplier").filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("k")), "k")
+
+
+@query("full_dump", """WITH r AS (SELECT 1 AS position, r_regionkey || chr(9) || r_name AS line FROM region), n AS (SELECT 2, n_nationkey || chr(9) || n_name || chr(9) || n_regionkey FROM nation)
+SELECT position, line FROM r UNION ALL SELECT * FROM n
+UNION ALL SELECT * FROM (VALUES (0, 'CREATE SCHEMA geo;'), (0, 'CREATE TABLE geo.region (r_regionkey integer, r_name text);'),
+  (0, 'CREATE TABLE geo.nation (n_nationkey integer, n_name text, n_regionkey integer);'), (1, 'COPY geo.region (r_regionkey, r_name) FROM stdin;'), (1, '\\.'),
+  (2, 'COPY geo.nation (n_nationkey, n_name, n_regionkey) FROM stdin;'), (2, '\\.'))
+UNION ALL SELECT 3, 'SELECT setval(pg_get_serial_sequence(''geo.nation'', ''n_nationkey''), ' || (SELECT max(n_nationkey) FROM nation) || ');'""")
+def _(s, d):
+    frames = {"nation": table(s, d, "nation"), "region": table(s, d, "region")}
+    return copy_dump.full_dump(frames, "geo", [("nation", "region")], {"nation": "n_nationkey"}, {"nation", "region"}).select("position", "line")
+
+
+@query("seed_matches", f"{with_sql('corpus')} SELECT id, min('r' || vec_id) AS record FROM corpus JOIN embeddings ON vec_id = id WHERE source_dir = 'theory/iis' AND extraction_state <> 'metadata' GROUP BY id")
+def _(s, d):
+    matches = table(s, d, "embeddings").select(F.col("vec_id").alias("document_id"), F.concat(F.lit("r"), F.col("vec_id").cast("string")).alias("record"))
+    return seeding.seed_matches(seeding.corpus_seeds(load(s, d, "corpus")), matches)[0]
+
+
+def _answers(s, d):
+    docs = table(s, d, "documents").select(F.col("doc_id").alias("document_id"), F.concat(F.lit("v"), F.col("doc_id").cast("string")).alias("value"))
+    error = F.when(F.col("document_id") % 7 == 0, "timeout")
+    fetched = docs.filter("document_id % 2 = 1").select("document_id", F.when(error.isNull() & (F.col("document_id") % 11 != 0), F.concat("value", F.lit("f"))).alias("value"), error.alias("error"))
+    stored = docs.filter("document_id % 3 = 0")
+    cached = docs.filter("document_id % 5 = 0").withColumn("value", F.concat("value", F.lit("c")))
+    return seeding.with_precedence(docs, stored, cached, fetched)
+
+
+@query("answer_precedence", """SELECT doc_id AS document_id, CASE WHEN doc_id % 3 = 0 THEN 'v' || doc_id WHEN doc_id % 5 = 0 THEN 'v' || doc_id || 'c' ELSE 'v' || doc_id || 'f' END AS value,
+  CASE WHEN doc_id % 3 = 0 THEN 'stored' WHEN doc_id % 5 = 0 THEN 'cached' ELSE 'fetched' END AS origin FROM documents
+WHERE doc_id % 3 = 0 OR doc_id % 5 = 0 OR (doc_id % 2 = 1 AND doc_id % 7 <> 0 AND doc_id % 11 <> 0)""")
+def _(s, d):
+    return _answers(s, d)[0]
+
+
+@query("answer_failures", "SELECT doc_id AS document_id, 'timeout' AS error FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 5 <> 0 AND doc_id % 2 = 1 AND doc_id % 7 = 0")
+def _(s, d):
+    return _answers(s, d)[1]
+
+
+@query("known_vectors", "SELECT 'W' || vec_id AS key FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents)")
+def _(s, d):
+    keys = table(s, d, "documents").select(F.concat(F.lit("W"), F.col("doc_id").cast("string")).alias("key"))
+    return seeding.known_vectors(load(s, d, "works"), keys).select("key")
+
+
+def _described(s, d):
+    return load(s, d, "works").withColumns({
+        "abstract": F.when(F.col("id") % 3 != 0, F.col("title")), "evidence": F.create_map(F.lit("abstract_source"), F.when(F.col("id") % 2 == 0, "zbmath").otherwise("openalex")),
+        "titles": F.when(F.col("id") % 5 != 0, F.array("title")).otherwise(F.array().cast("array<string>")), "years": F.when(F.col("id") % 4 != 0, F.array("year")),
+    })
+
+
+@query("stored_abstracts", f"{with_sql('works')} SELECT document_id, title AS value FROM works WHERE document_id IS NOT NULL AND id % 3 <> 0 AND id % 2 = 0")
+def _(s, d):
+    return seeding.stored_abstracts(_described(s, d))
+
+
+@query("stored_titles", f"{with_sql('works')} SELECT document_id, title, CASE WHEN id % 4 <> 0 THEN 1 ELSE 0 END AS n_years FROM works WHERE document_id IS NOT NULL AND id % 5 <> 0")
+def _(s, d):
+    return seeding.stored_titles(_described(s, d)).select("document_id", F.col("titles")[0].alias("title"), F.size("years").alias("n_years"))
+
+
+@query("vectors_first", "SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE strlen(p_name) END::DOUBLE AS first FROM part")
+def _(s, d):
+    part = table(s, d, "part")
+    stored = part.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("id"), F.array(F.col("p_size").cast("float")).alias("embedding"))
+    made = seeding.vectors_of(part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("text")), stored, lambda texts: [[float(len(t.encode()))] for t in texts], 1)
+    return made.select("id", F.col("embedding")[0].cast("double").alias("first"))

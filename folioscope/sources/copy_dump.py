@@ -107,3 +107,29 @@ def copy_lines(df: DataFrame, schema: str, table: str) -> DataFrame:
     foot = spark.createDataFrame([((1 << 62), "\\.")], "ordinal long, line string")
     body = df.select(F.monotonically_increasing_id().alias("ordinal"), F.concat_ws("\t", *map(quoted, df.columns)).alias("line"))
     return head.union(body).union(foot)
+
+
+def full_dump(frames: dict[str, DataFrame], schema: str, references: list[tuple[str, str]], serial: dict[str, str], classified: set[str]) -> DataFrame:
+    """(position, ordinal, line) of a dump of whole tables, in an order that can be restored:
+    schema, tables, a block a table, and the sequences set after the rows.  ``serial``: table
+    -> its numbered column.  A table outside ``classified`` is refused before a line is made."""
+    from folioscope.operators.package_checks import restore_order
+
+    strange = sorted(set(frames) - classified)
+    if strange:
+        raise DumpError(f"tables without a class: {strange}")
+    spark = next(iter(frames.values())).sparkSession
+    order = restore_order(list(frames), references)
+    kinds = {"bigint": "bigint", "int": "integer", "double": "double precision", "timestamp": "timestamp", "boolean": "boolean"}
+    head = [f"CREATE SCHEMA {schema};"]
+    for t in order:
+        columns = ", ".join(f"{c} {kinds.get(kind, 'text')}" for c, kind in frames[t].dtypes)
+        head.append(f"CREATE TABLE {schema}.{t} ({columns});")
+    out = spark.createDataFrame([(0, i, line) for i, line in enumerate(head)], "position int, ordinal long, line string")
+    for n, t in enumerate(order, 1):
+        out = out.unionByName(copy_lines(frames[t], schema, t).withColumn("position", F.lit(n)))
+    for n, (t, c) in enumerate(sorted(serial.items())):
+        top = frames[t].agg(F.coalesce(F.max(c), F.lit(0)).alias("m"))
+        line = F.format_string(f"SELECT setval(pg_get_serial_sequence('{schema}.{t}', '{c}'), %s);", F.col("m").cast("string"))
+        out = out.unionByName(top.select(F.lit(len(order) + 1).alias("position"), F.lit(n).cast("long").alias("ordinal"), line.alias("line")))
+    return out
