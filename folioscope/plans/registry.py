@@ -228,7 +228,7 @@ def _(s, d):
     return found.select("query_id", "id", F.array_join("lexemes", " ").alias("lexemes"), F.size("lexemes").cast("long").alias("overlap"))
 
 
-@query("russian_search")
+@query("russian_search", _PHRASE_SQL + " SELECT document_id, page_number, substr(body, 1, 200) AS snippet FROM hits WHERE hits > 0 ORDER BY document_id, page_number LIMIT 20")  # Latin words have no Russian stem
 def _(s, d):
     return retrieval.fulltext(_pages(s, d).drop("embedding"), PHRASE, 20, russian_tokens)
 
@@ -250,7 +250,11 @@ def _(s, d):
     return stats.histogram(_scores(s, d)).withColumns({c: F.round(c, 5) for c in ("low", "high")})
 
 
-@query("gap_tau")
+@query("gap_tau", f"""{with_sql('journal')}, v AS (SELECT score FROM journal WHERE score IS NOT NULL),
+m AS (SELECT min(score) AS lo, (list(score ORDER BY score))[count(*) // 2 + 1] AS med FROM v),
+g AS (SELECT unnest(range(0, trunc((med - lo) / 0.02::DOUBLE)::BIGINT)) AS bin FROM m),
+f AS (SELECT DISTINCT trunc((score - lo) / 0.02::DOUBLE)::BIGINT AS bin FROM v, m WHERE score <= med)
+SELECT (SELECT lo FROM m) + (max(bin) + 0.5::DOUBLE) * 0.02::DOUBLE AS tau FROM g WHERE bin NOT IN (SELECT bin FROM f)""")
 def _(s, d):
     tau = stats.suggest_tau(_scores(s, d), width=0.02)
     return s.createDataFrame([(tau,)], "tau double")
@@ -570,7 +574,7 @@ def _(s, d):
     return text_sources.citers_of(records, load(s, d, "works").select("id"))
 
 
-@query("dump_scan")
+@query("dump_scan", "SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS ordinal, n_nationkey::VARCHAR AS n_nationkey, n_name FROM nation")
 def _(s, d):
     folder = f"{snapshots.shared_dir(s)}/dump-{uuid.uuid4().hex}"
     lines = copy_dump.copy_lines(table(s, d, "nation"), "public", "nation").coalesce(1).sortWithinPartitions("ordinal").select("line")
