@@ -71,20 +71,27 @@ def indexed_without_external(works: DataFrame, documents: DataFrame, external_di
     return works.filter("kind = 'indexed'").join(there, works["document_id"] == F.col("_d"), "left_anti").select("key")
 
 
-def completeness(files: DataFrame, documents: DataFrame) -> DataFrame:
-    """files (id, pages, sha256) on disk against documents (id, pages_count,
-    source_sha256, source_url, has_blob, state): a problem per row."""
-    f = files.select(F.col("id").alias("f_id"), F.col("pages").alias("f_pages"), F.col("sha256").alias("f_sha"))
-    both = f.join(documents, f["f_id"] == documents["id"], "full_outer")
-    problem = F.array_compact(F.array(
-        F.when(F.col("id").isNull(), "not-indexed"),
-        F.when(F.col("f_id").isNull() & (F.col("state") != "metadata"), "phantom-row"),
-        F.when(F.col("f_pages") != F.col("pages_count"), "page-count"),
-        F.when(F.col("id").isNotNull() & ~F.col("has_blob"), "no-blob"),
-        F.when(F.col("has_blob") & (F.col("f_sha") != F.col("source_sha256")), "hash-mismatch"),
-        F.when(F.col("id").isNotNull() & (F.coalesce("source_url", F.lit("")) == ""), "no-url"),
-    ))
-    return both.select(F.coalesce("f_id", "id").alias("id"), F.explode(problem).alias("problem"))
+def completeness(files: DataFrame, documents: DataFrame, listed: DataFrame) -> DataFrame:
+    """A problem per row (id, problem).
+
+    files (id, kind, path, pages, sha256): every file on disk.  ``kind`` is "exclude",
+    "unclassified" (named by its path) or one that is included; ``pages`` is null where
+    a file has no count of its own, and its document then needs one page at least.
+    documents (id, pages_count, source_path, source_sha256, source_url, has_blob): the
+    hash is held against the file at ``source_path``.  listed (id): documents whose index
+    row has a link."""
+    included = files.filter(~F.col("kind").isin("exclude", "unclassified")).select(F.col("id").alias("f_id"), "pages")
+    both = included.join(documents.select("id", "pages_count"), F.col("f_id") == F.col("id"), "full_outer")
+    of_files = F.when(F.col("id").isNull(), "not-indexed").when(F.col("f_id").isNull(), "phantom-row")
+    of_files = of_files.when(F.col("pages") != F.col("pages_count"), "page-count").when(F.col("pages").isNull() & (F.col("pages_count") < 1), "empty-metadata")
+    on_disk = files.select(F.col("path").alias("source_path"), F.col("sha256").alias("f_sha"), F.lit(True).alias("there"))
+    own = documents.join(included.select(F.col("f_id").alias("id")).distinct(), "id", "left_semi").join(on_disk, "source_path", "left")
+    own = own.join(listed.select("id", F.lit(True).alias("listed")).distinct(), "id", "left")
+    of_source = F.when(F.col("there").isNull(), "broken-path").when(~F.col("has_blob"), "no-blob").when(~F.col("f_sha").eqNullSafe(F.col("source_sha256")), "hash-mismatch")
+    no_url = F.when(F.col("listed") & (F.coalesce("source_url", F.lit("")) == ""), "no-url")
+    unknown = files.filter("kind = 'unclassified'").select(F.col("path").cast("string").alias("id"), F.lit("unclassified").alias("problem"))
+    out = unknown.unionByName(both.select(F.coalesce("f_id", "id").cast("string").alias("id"), of_files.alias("problem")).filter("problem IS NOT NULL"))
+    return out.unionByName(own.select(F.col("id").cast("string").alias("id"), F.explode(F.array_compact(F.array(of_source, no_url))).alias("problem")))
 
 
 def compare_counts(declared: DataFrame, actual: DataFrame, key: str, value: str) -> DataFrame:
@@ -141,9 +148,3 @@ def drift(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     both = b.join(after, key)
     shift = F.col("rank") - F.col("r0")
     return both.agg(F.max(F.abs(shift)).alias("max_shift"), F.max(shift).alias("max_signed"), F.max(F.abs(F.col("distance") - F.col("d0"))).alias("max_distance"))
-
-
-def leak_rows(journal: DataFrame, names: DataFrame) -> DataFrame:
-    from folioscope.operators.publish import naming_rows
-
-    return naming_rows(journal, names)

@@ -35,6 +35,15 @@ def upsert_documents(old: DataFrame, staged: DataFrame, source_dir: str, owned_b
     return rows.select(*(value(c).alias(c) for c in old.columns))
 
 
+def refuse_foreign_ids(old: DataFrame, staged: DataFrame, source_dir: str) -> None:
+    """ValueError where a staged id is held by a document of another tree: the upsert
+    would pass over it without a word."""
+    held = old.filter(~F.col("source_dir").eqNullSafe(F.lit(source_dir))).join(staged.select("id").distinct(), "id", "left_semi")
+    names = [r[0] for r in held.select("id").orderBy("id").limit(5).collect()]
+    if names:
+        raise ValueError(f"ids of another tree: {names}")
+
+
 def upsert_pages(old: DataFrame, staged: DataFrame) -> DataFrame:
     """The vector of a page survives exactly as long as its body does."""
     rows = _joined(old, staged, ["document_id", "page_number"])

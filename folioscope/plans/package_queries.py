@@ -94,9 +94,10 @@ def _(s, d):
     return _index(s, d)
 
 
-@query("hub_batches", f"WITH c AS ({CACHED}) SELECT f || k AS filter, max(n) AS \"count\" FROM c WHERE event_id % 10 <> 9 AND {_DIRECTION} = 'cites' GROUP BY 1")
+@query("hub_batches", f"WITH c AS ({CACHED}) SELECT f || k AS filter, min_by(n + event_id % 7, event_id) AS \"count\" FROM c WHERE event_id % 10 <> 9 AND {_DIRECTION} = 'cites' GROUP BY 1")
 def _(s, d):
-    return text_sources.batch_counts(_index(s, d).filter("direction = 'cites'"))
+    pages = _index(s, d).filter("direction = 'cites'").withColumn("count", F.col("count") + F.col("event_id") % 7)
+    return text_sources.batch_counts(pages.withColumnRenamed("event_id", "name"))
 
 
 @query("note_directions", f"WITH c AS ({CACHED}) SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'told' ELSE {_DIRECTION} END AS direction FROM c")
@@ -407,16 +408,23 @@ def _(s, d):
     return files.statements(s.sql(DDL.replace("FROM events", "FROM {events}"), events=table(s, d, "events")))
 
 
-@query("completeness", f"""{with_sql('corpus')}, f AS (SELECT id, id % 4 AS pages, 'h' || (id % 6) AS sha FROM corpus WHERE id % 7 <> 0 UNION ALL SELECT -1, 1, 'h'),
-d AS (SELECT id, (CASE WHEN id % 10 = 1 THEN 9 ELSE id % 4 END) AS pages_count, 'h' || (id % 5) AS source_sha256, CASE WHEN id % 9 <> 0 THEN 'u' END AS source_url, id % 8 <> 0 AS has_blob, extraction_state AS state FROM corpus),
-x AS (SELECT f.id AS f, d.id AS d, coalesce(f.id, d.id) AS id, pages, pages_count, sha, source_sha256, source_url, has_blob, state FROM f FULL JOIN d ON f.id = d.id)
-SELECT id, 'not-indexed' AS problem FROM x WHERE d IS NULL UNION ALL SELECT id, 'phantom-row' FROM x WHERE f IS NULL AND state <> 'metadata' UNION ALL SELECT id, 'page-count' FROM x WHERE pages <> pages_count
-UNION ALL SELECT id, 'no-blob' FROM x WHERE d IS NOT NULL AND NOT has_blob UNION ALL SELECT id, 'hash-mismatch' FROM x WHERE has_blob AND sha <> source_sha256 UNION ALL SELECT id, 'no-url' FROM x WHERE d IS NOT NULL AND source_url IS NULL""")
+ON_DISK = """SELECT id, CASE WHEN id % 11 = 0 THEN 'exclude' WHEN id % 13 = 0 THEN 'unclassified' ELSE 'include' END AS kind, concat('f', id) AS path,
+  CASE WHEN id % 10 > 0 THEN id % 4 END AS pages, concat('h', id % 6) AS sha256 FROM corpus WHERE id % 7 <> 0"""
+INDEXED = """SELECT id, CASE WHEN id % 10 = 1 THEN 9 ELSE id % 4 END AS pages_count, concat('f', CASE WHEN id % 12 = 5 THEN -1 ELSE id END) AS source_path,
+  concat('h', id % 5) AS source_sha256, CASE WHEN id % 9 <> 0 THEN 'u' END AS source_url, id % 8 <> 0 AS has_blob FROM corpus WHERE id % 17 <> 0"""
+
+
+@query("completeness", f"""{with_sql('corpus')}, f AS ({ON_DISK}), d AS ({INDEXED}), i AS (SELECT * FROM f WHERE kind = 'include'),
+x AS (SELECT d.*, i.id IS NOT NULL AS own, i.pages, h.path AS there, h.sha256 FROM d LEFT JOIN i USING (id) LEFT JOIN f h ON h.path = d.source_path)
+SELECT path AS id, 'unclassified' AS problem FROM f WHERE kind = 'unclassified' UNION ALL SELECT id::VARCHAR, 'not-indexed' FROM i WHERE id NOT IN (SELECT id FROM d)
+UNION ALL SELECT id::VARCHAR, 'phantom-row' FROM x WHERE NOT own UNION ALL SELECT id::VARCHAR, 'page-count' FROM x WHERE pages <> pages_count
+UNION ALL SELECT id::VARCHAR, 'empty-metadata' FROM x WHERE own AND pages IS NULL AND pages_count < 1 UNION ALL SELECT id::VARCHAR, 'broken-path' FROM x WHERE own AND there IS NULL
+UNION ALL SELECT id::VARCHAR, 'no-blob' FROM x WHERE own AND there IS NOT NULL AND NOT has_blob UNION ALL SELECT id::VARCHAR, 'hash-mismatch' FROM x WHERE own AND has_blob AND sha256 <> source_sha256
+UNION ALL SELECT id::VARCHAR, 'no-url' FROM x WHERE own AND source_url IS NULL AND id % 2 = 0""")
 def _(s, d):
     corpus = load(s, d, "corpus")
-    on_disk = corpus.filter("id % 7 <> 0").selectExpr("id", "id % 4 AS pages", "concat('h', id % 6) AS sha256").union(s.createDataFrame([(-1, 1, "h")], "id long, pages long, sha256 string"))
-    docs = corpus.selectExpr("id", "CASE WHEN id % 10 = 1 THEN 9 ELSE id % 4 END AS pages_count", "concat('h', id % 5) AS source_sha256", "CASE WHEN id % 9 <> 0 THEN 'u' END AS source_url", "id % 8 <> 0 AS has_blob", "extraction_state AS state")
-    return checks.completeness(on_disk, docs)
+    on_disk, indexed = (s.sql(q.replace("FROM corpus", "FROM {corpus}"), corpus=corpus) for q in (ON_DISK, INDEXED))
+    return checks.completeness(on_disk, indexed, corpus.filter("id % 2 = 0").select("id"))
 
 
 @query("set_agreement", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'only-left' ELSE 'only-right' END AS side FROM (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_suppkey % 2 = 0) a FULL JOIN (SELECT s_suppkey AS k FROM supplier WHERE s_suppkey % 3 = 0) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL")

@@ -593,3 +593,4 @@ def _(s, d):
 
 
 from folioscope.plans import package_queries  # noqa: E402, F401  (adds its queries)
+from folioscope.plans import store_queries  # noqa: E402, F401

@@ -21,7 +21,7 @@ def split_pages(documents: DataFrame, id_col: str, text: Column, by: str = "\f")
 
 def transcribed_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Files <stem>-NN.txt: number from the name, body trimmed, blank pages skipped."""
-    files = spark.read.option("wholetext", True).text(f"{folder}/*.txt").withColumn("name", F.substring_index(F.col("_metadata.file_path"), "/", -1))
+    files = spark.read.text(f"{folder}/*.txt", wholetext=True).withColumn("name", F.substring_index(F.col("_metadata.file_path"), "/", -1))
     rows = files.select(F.regexp_extract("name", r"^(.*)-(\d+)\.txt$", 1).alias("document_id"), F.regexp_extract("name", r"-(\d+)\.txt$", 1).alias("n"), F.regexp_replace("value", r"^\s+|\s+$", "").alias("body"))
     return rows.filter("n != '' AND body != ''").select("document_id", F.col("n").cast("int").alias("page_number"), "body")
 
@@ -99,8 +99,10 @@ def citers_of(records: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def batch_counts(pages: DataFrame) -> DataFrame:
-    """Promised counts of cached answers (filter, count): one per filter, not per page."""
-    return pages.groupBy("filter").agg(F.max("count").alias("count")).orderBy(F.col("count").desc(), "filter")
+    """Promised counts of cached answers (name, filter, count): one per filter, that of the
+    page whose name comes first; null counts as 0."""
+    first = F.min_by(F.coalesce("count", F.lit(0)), "name")
+    return pages.groupBy(F.coalesce("filter", F.lit("")).alias("filter")).agg(first.alias("count")).orderBy(F.col("count").desc(), "filter")
 
 
 def memo_lookup(texts: DataFrame, memo: DataFrame, model: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -360,3 +361,44 @@ def test_topk_plan_has_no_full_sort(spark):
     w = works(spark, (1, "a", graph.SKELETON, None, [1.0, 0.0]))
     plan = graph.nearest(w, [1.0, 0.0], 3)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "CartesianProduct" not in plan
+
+
+def test_batch_counts_take_the_first_page(spark):
+    pages = spark.createDataFrame([("b", "cites:W1", 9), ("a", "cites:W1", 4), ("c", None, None)], "name string, filter string, count long")
+    assert [tuple(r) for r in text_sources.batch_counts(pages).collect()] == [("cites:W1", 4), ("", 0)]
+
+
+def test_files_of_other_kinds(spark, tmp_path):
+    from folioscope.sources import files
+
+    (tmp_path / "pages").mkdir()
+    for name, body in (("a-01.txt", " x \n"), ("a-02.txt", " \n"), ("a-10.txt", "y\nz"), ("notes.txt", "no")):
+        (tmp_path / "pages" / name).write_text(body)
+    pages = text_sources.transcribed_pages(spark, f"file://{tmp_path}/pages")
+    assert sorted(tuple(r) for r in pages.collect()) == [("a", 1, "x"), ("a", 10, "y\nz")]
+    docs = files.document_per_file(spark, f"file://{tmp_path}/pages/notes.txt")
+    assert [tuple(r) for r in docs.collect()] == [("notes", 1, "no")]
+    (tmp_path / "m.json").write_text('{"documents": [{"id": "a", "pages": 2}, {"id": "b"}]}')
+    assert sorted((r["id"], r["pages"]) for r in text_sources.manifest_documents(spark, f"file://{tmp_path}/m.json").collect()) == [("a", 2), ("b", None)]
+    found = text_sources.blobs(spark, f"file://{tmp_path}/pages/notes.txt").first()
+    assert bytes(found["source_blob"]) == b"no" and found["source_sha256"] == hashlib.sha256(b"no").hexdigest()
+
+
+def test_dry_run_writes_nothing_and_foreign_ids_are_refused(spark):
+    assert snapshots.dry_run(spark.range(60))[0] == 60 and len(snapshots.dry_run(spark.range(60))[1]) == 50
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id long, source_dir string")
+    merge.refuse_foreign_ids(old, spark.createDataFrame([(1,), (9,)], "id long"), "a")
+    for taken in (2, 3):
+        with pytest.raises(ValueError, match="another tree"):
+            merge.refuse_foreign_ids(old, spark.createDataFrame([(taken,)], "id long"), "a")
+
+
+def test_completeness_by_hand(spark):
+    columns = "id string, kind string, path string, pages int, sha256 string"
+    on_disk = [("a", "include", "d/a", 2, "h"), ("b", "include", "d/b", None, "h"), ("c", "include", "d/c", 1, "h"), ("e", "exclude", "d/e", 1, "h"), ("x", "unclassified", "d/x", 1, "h")]
+    documents = [("a", 3, "d/a", "h", "", True), ("b", 0, "d/gone", "h", "u", True), ("e", 1, "d/e", "h", "u", True)]
+    got = checks.completeness(
+        spark.createDataFrame(on_disk, columns), spark.createDataFrame(documents, "id string, pages_count int, source_path string, source_sha256 string, source_url string, has_blob boolean"),
+        spark.createDataFrame([("a",)], "id string"),
+    )
+    assert sorted(tuple(r) for r in got.collect()) == [("a", "no-url"), ("a", "page-count"), ("b", "broken-path"), ("b", "empty-metadata"), ("c", "not-indexed"), ("d/x", "unclassified"), ("e", "phantom-row")]
