@@ -86,7 +86,8 @@ def short_id(url: Column) -> Column:
 
 
 def mathnet_id(url: Column, host: str = "mathnet.ru") -> Column:
-    return F.when(F.contains(F.coalesce(url, F.lit("")), F.lit(host)), F.lower(F.regexp_replace(url, "^.*/", ""))).otherwise("")
+    """Last part of a URL of the host, null for other URLs."""
+    return F.when(F.contains(url, F.lit(host)), F.nullif(short_id(url), F.lit("")))
 
 
 def safe_id(name: Column) -> Column:

@@ -54,8 +54,12 @@ def union_identities(kept: DataFrame, aliases: DataFrame) -> tuple[DataFrame, Da
     """(id -> key) for kept records, and the aliases they add.  A record that shares a
     DOI with a known node or with an earlier record of the level is absorbed by it; a
     record that bridges two nodes joins the one with the smaller name, and the nodes
-    stay two."""
-    names = kept.select("id", F.explode(F.array_compact(F.array(F.col("id"), F.nullif(F.concat(F.lit("doi:"), normalize_doi(F.col("doi"))), F.lit("doi:"))))).alias("ref"))
+    stay two.  A column ``ids`` (an array, as ``functions.records.record_ids`` makes it)
+    holds further identifiers that count like the DOI."""
+    claims = F.array_compact(F.array(F.col("id"), F.nullif(F.concat(F.lit("doi:"), normalize_doi(F.col("doi"))), F.lit("doi:"))))
+    if "ids" in kept.columns:
+        claims = F.array_union(claims, F.array_compact(F.coalesce("ids", F.array().cast("array<string>"))))
+    names = kept.select("id", F.explode(F.array_distinct(claims)).alias("ref"))
     known = names.join(aliases, "ref").groupBy("id").agg(F.min("key").alias("old"))
     first = names.groupBy("ref").agg(F.min("id").alias("founder"))
     own = names.join(first, "ref").groupBy("id").agg(F.min("founder").alias("founder"))

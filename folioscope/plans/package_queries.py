@@ -353,7 +353,7 @@ def _(s, d):
     return table(s, d, "documents").select("doc_id", tx.page_text(F.col("text")).alias("t"))
 
 
-@query("safe_ids", "SELECT page_id, regexp_replace(url, '[^A-Za-z0-9_-]', '_', 'g') AS id, CASE WHEN contains(url, 'example') THEN lower(regexp_replace(url, '^.*/', '')) ELSE '' END AS short FROM pages")
+@query("safe_ids", "SELECT page_id, regexp_replace(url, '[^A-Za-z0-9_-]', '_', 'g') AS id, CASE WHEN contains(url, 'example') THEN nullif(regexp_replace(rtrim(url, '/'), '^.*/', ''), '') END AS short FROM pages")
 def _(s, d):
     return table(s, d, "pages").select("page_id", tx.safe_id(F.col("url")).alias("id"), tx.mathnet_id(F.col("url"), "example").alias("short"))
 

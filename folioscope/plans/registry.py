@@ -574,12 +574,12 @@ def _(s, d):
     return text_sources.citers_of(records, load(s, d, "works").select("id"))
 
 
-@query("dump_scan", "SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS ordinal, n_nationkey::VARCHAR AS n_nationkey, n_name FROM nation")
+@query("dump_scan", "SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS ordinal, p_partkey::VARCHAR AS p_partkey, p_name FROM part")
 def _(s, d):
     folder = f"{snapshots.shared_dir(s)}/dump-{uuid.uuid4().hex}"
-    lines = copy_dump.copy_lines(table(s, d, "nation"), "public", "nation").coalesce(1).sortWithinPartitions("ordinal").select("line")
+    lines = copy_dump.copy_lines(table(s, d, "part"), "public", "part").coalesce(1).sortWithinPartitions("ordinal").select("line")
     lines.write.text(folder)
-    return copy_dump.table_of(copy_dump.read_dump(s, f"{folder}/part-*"), "public", "nation", ["n_nationkey", "n_name"])
+    return copy_dump.table_of(copy_dump.read_dump(s, f"{folder}/part-*"), "public", "part", ["p_partkey", "p_name"])
 
 
 @query("crawl_levels")

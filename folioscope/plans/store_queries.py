@@ -96,6 +96,15 @@ def _(s, d):
     return crawl.union_identities(kept, known)[0]
 
 
+@query("identities_by_ids", """WITH p AS (SELECT p_partkey AS id, p_partkey // 4 AS g FROM part)
+SELECT 'R' || id AS id, CASE WHEN id % 4 = 3 THEN 'R' || id ELSE first END AS key FROM p JOIN (SELECT g, min('R' || id) AS first FROM p WHERE id % 4 < 3 GROUP BY g) f USING (g)""")
+def _(s, d):
+    part = table(s, d, "part").select("p_partkey", F.concat(F.lit("R"), F.col("p_partkey").cast("string")).alias("id"), F.floor(F.col("p_partkey") / 4).cast("string").alias("g"))
+    shared = F.when(F.col("p_partkey") % 4 < 3, F.array(F.concat(F.lit("mag:"), "g"), F.lit(None)))
+    none = s.createDataFrame([], "ref string, key string")
+    return crawl.union_identities(part.select("id", F.lit("").alias("doi"), shared.alias("ids")), none)[0]
+
+
 @query("among_known", f"""{with_sql('cites')}, f AS (SELECT DISTINCT citing FROM cites WHERE citing % 3 = 0), known AS (SELECT DISTINCT citing AS id FROM cites WHERE citing % 5 < 3),
 own AS (SELECT citing, cited, 'referenced' AS relation, citing AS via FROM cites WHERE citing IN (FROM f) AND cited IN (FROM known)),
 cand AS (SELECT citing, cited, CASE WHEN citing % 2 = 0 THEN 'cites' ELSE '' END AS relation, CASE WHEN citing % 4 = 0 THEN citing + 1 ELSE citing END AS via FROM cites WHERE citing IN (FROM known) AND cited IN (FROM known))
@@ -136,6 +145,17 @@ def _(s, d):
     return files.extracted_texts(found, lambda content: content.decode() + "\f")
 
 
+@query("quoted_titles", """SELECT page_id, 'On "' || page_id || '" & more | Two' AS titles, CASE WHEN page_id % 30 = 5 THEN '1995' ELSE least(1990 + page_id % 30, 1995)::VARCHAR || ' ' || greatest(1990 + page_id % 30, 1995)::VARCHAR END AS years FROM pages""")
+def _(s, d):
+    year = (F.col("page_id") % 30 + 1990).cast("string")
+    page = F.concat(
+        F.lit("<html><title><b>Vol 12345</b> &ldquo;On &quot;"), F.col("page_id").cast("string"), F.lit('&quot; &amp; more &#8221;, '), year,
+        F.lit("&nbsp;\u201c \u201d 1995 \u201cTwo\u201d</title><title>\u201cnot this\u201d 2001</title>"),
+    )
+    found = table(s, d, "pages").select("page_id", text_sources.quoted_titles(page).alias("t"))
+    return found.select("page_id", F.array_join("t.titles", " | ").alias("titles"), F.array_join(F.col("t.years").cast("array<string>"), " ").alias("years"))
+
+
 @query("blank_fields", "SELECT event_id FROM events WHERE event_id % 3 <> 1")
 def _(s, d):
     field = F.when(F.col("event_id") % 3 == 0, "").when(F.col("event_id") % 3 == 1, " ")

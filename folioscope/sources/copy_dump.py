@@ -3,15 +3,20 @@
 ``COPY schema.table (a, b) FROM stdin;`` opens a block, ``\\.`` closes it; fields are
 separated by tabs, ``\\N`` is null, and backslash escapes are undone.  A row with another
 number of fields than the header, or a file that ends inside a block, is an error.
-A gzip file can't be split, so a file is one task; several files are read side by side."""
+Files are read as lines, never as one value.  A file named .gz can't be split and is one
+task.  Others are split: a first pass sums up each split for either state it may begin in
+(inside a block or not), the sums are chained along each file, and every split is then
+read from the state it truly begins in."""
 
 from __future__ import annotations
 
-import gzip
-import io
+import json
 import re
 from collections.abc import Iterator
+from itertools import chain, groupby
+from operator import itemgetter
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,45 +46,94 @@ def escape(value: str | None) -> str:
     return out
 
 
-def scan_lines(lines: Iterator[str]) -> Iterator[tuple[str, str, int, list[str], list[str | None]]]:
-    now, n = None, 0
+def _step(state: list | None, line: str) -> list | None:
+    """State after a line: None outside, [schema, table, columns, rows so far] inside."""
+    if state is None:
+        m = _OPEN.match(line)
+        return [m[1], m[2], [c.strip().strip('"') for c in m[3].split(",")], 0] if m else None
+    return None if line == "\\." else [*state[:3], state[3] + 1]
+
+
+def scan_lines(lines: Iterator[str], state: list | None = None, to_the_end: bool = True) -> Iterator[tuple[str, str, int, list[str], list[str | None]]]:
+    """Rows of the lines, which begin in ``state`` and, if ``to_the_end``, must end outside."""
     for line in lines:
         line = line.rstrip("\n")
-        if now is None:
-            m = _OPEN.match(line)
-            if m:
-                now, n = (m[1], m[2], [c.strip().strip('"') for c in m[3].split(",")]), 0
-        elif line == "\\.":
-            now = None
-        else:
+        if state is not None and line != "\\.":
+            schema, table, columns, n = state
             fields = [unescape(f) for f in line.split("\t")]
-            if len(fields) != len(now[2]):
-                raise DumpError(f"{now[0]}.{now[1]} row {n}: {len(fields)} fields for {len(now[2])} columns")
-            yield now[0], now[1], n, now[2], fields
-            n += 1
-    if now is not None:
-        raise DumpError(f"the dump ends inside {now[0]}.{now[1]}")
+            if len(fields) != len(columns):
+                raise DumpError(f"{schema}.{table} row {n}: {len(fields)} fields for {len(columns)} columns")
+            yield schema, table, n, columns, fields
+        state = _step(state, line)
+    if state is not None and to_the_end:
+        raise DumpError(f"the dump ends inside {state[0]}.{state[1]}")
+
+
+def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Iterator[str]]]:
+    """(path, start, state) of each split with its lines, in order.  Lines are bytes until
+    here, so wrong UTF-8 is an error and not replaced."""
+    rows = chain.from_iterable(zip(*(c.to_pylist() for c in b.columns), strict=True) for b in batches)
+    for key, lines in groupby(rows, itemgetter(0, 1, 2)):
+        yield key, (line[3].decode() for line in lines)
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each split: the state at its end if it begins outside; the lines up to the first
+    that closes a block, whether there is one, and the state at the end after that."""
+    for (path, start, _), lines in _splits(batches):
+        outside, after, closed, head = None, None, False, 0
+        for line in lines:
+            outside = _step(outside, line)
+            if closed:
+                after = _step(after, line)
+            elif line == "\\.":
+                closed = True
+            else:
+                head += 1
+        row = {"path": path, "start": start, "outside": json.dumps(outside), "closed": closed, "head": head, "after": json.dumps(after)}
+        yield pa.RecordBatch.from_pylist([row])
+
+
+def _chained(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The state each split of one file begins in."""
+    state, begins = None, []
+    pdf = pdf.sort_values("start")
+    for outside, closed, head, after in pdf[["outside", "closed", "head", "after"]].itertuples(index=False):
+        begins.append(json.dumps(state))
+        if state is None:
+            state = json.loads(outside)
+        else:
+            state = json.loads(after) if closed else [*state[:3], state[3] + int(head)]
+    if state is not None:
+        raise DumpError(f"the dump ends inside {state[0]}.{state[1]}")
+    return pd.DataFrame({"path": pdf["path"], "start": pdf["start"], "state": begins})
 
 
 def read_dump(spark: SparkSession, glob: str) -> DataFrame:
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
+    """All rows of all dumps; ``ordinal`` counts a block's rows from 0."""
+    text = spark.read.text(glob, lineSep="\n")
+    lines = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.lit(None).cast("string").alias("state"), F.col("value").cast("binary").alias("line"))
+    whole = all(f.endswith(".gz") for f in text.inputFiles())
+    if not whole:
+        sums = lines.mapInArrow(_sums, "path string, start long, outside string, closed boolean, head long, after string")
+        states = sums.groupBy("path").applyInPandas(_chained, "path string, start long, state string")
+        # One row for each split of a file (spark.sql.files.maxPartitionBytes), so it is small.
+        # A broadcast join keeps the lines in their order.
+        lines = lines.drop("state").join(F.broadcast(states), ["path", "start"]).select("path", "start", "state", "line")
     schema = pa.schema([("path", pa.string()), ("schema", pa.string()), ("table", pa.string()), ("ordinal", pa.int64()), ("columns", pa.list_(pa.string())), ("fields", pa.list_(pa.string()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1), strict=True):
-                raw = content.as_py()
-                stream = gzip.GzipFile(fileobj=io.BytesIO(raw)) if raw[:2] == b"\x1f\x8b" else io.BytesIO(raw)
-                held = []
-                for row in scan_lines(io.TextIOWrapper(stream, encoding="utf-8", newline="\n")):
-                    held.append((path.as_py(), *row))
-                    if len(held) == 5000:
-                        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, h, strict=True)) for h in held], schema)
-                        held = []
-                if held:
-                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, h, strict=True)) for h in held], schema)
-
-    return files.mapInArrow(rows, ROWS)
+        for (path, _, state), split in _splits(batches):
+            held = []
+            for row in scan_lines(split, json.loads(state or "null"), whole):
+                held.append(dict(zip(schema.names, (path, *row), strict=True)))
+                if len(held) == 5000:
+                    yield pa.RecordBatch.from_pylist(held, schema)
+                    held = []
+            if held:
+                yield pa.RecordBatch.from_pylist(held, schema)
+
+    return lines.mapInArrow(rows, ROWS)
 
 
 def table_of(dump: DataFrame, schema: str, table: str, columns: list[str]) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import html as html_lib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The columns of the registry of external sources, and its file types.
 REGISTRY_COLUMNS = ("filename", "source_tier", "source_url", "legal_note", "bibliography", "reason")
@@ -71,6 +75,22 @@ def html_title(html: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(raw, "<[^>]+>", ""), r"\s+", " "))
 
 
+@F.pandas_udf(StringType())
+def unescaped(text: pd.Series) -> pd.Series:
+    """HTML character references undone; SQL has no function that knows their names."""
+    return text.map(html_lib.unescape, na_action="ignore")
+
+
+def quoted_titles(html: Column) -> Column:
+    """Struct of the titles in curly quotes within the first <title>, blank ones left out,
+    and the years named in it, sorted, each once; both empty without a <title>."""
+    raw = F.regexp_extract(F.coalesce(html, F.lit("")), r"(?s)<title>(.*?)</title>", 1)
+    head = F.replace(unescaped(F.regexp_replace(raw, "<[^>]+>", "")), F.lit("\u00a0"), F.lit(" "))
+    quoted = F.transform(F.regexp_extract_all(head, F.lit(r"(?s)\u201c(.*?)\u201d"), 1), lambda q: F.regexp_replace(q, r"^\s+|\s+$", ""))
+    years = F.transform(F.regexp_extract_all(head, F.lit(r"\b((?:19|20)\d{2})\b"), 1), lambda y: y.cast("int"))
+    return F.struct(F.filter(quoted, lambda q: q != "").alias("titles"), F.array_sort(F.array_distinct(years)).alias("years"))
+
+
 def years_in(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(r"\b(1[89]\d\d|20\d\d)\b"), 1), lambda y: y.cast("int"))))
 

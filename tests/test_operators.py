@@ -156,6 +156,30 @@ def test_dump_reader(spark, tmp_path):
             list(copy_dump.scan_lines(iter(bad.splitlines(keepends=True))))
 
 
+def test_split_dumps_read_as_whole_ones(spark, tmp_path):
+    blocks, want = ["-- head"], []
+    for t, size in (("a", 40), ("b", 0), ("c", 7), ("d", 90)):
+        blocks += [f"COPY s.{t} (x) FROM stdin;", *(f"COPY s.z (x) FROM stdin;" if i == 5 else f"{t}{i} é" for i in range(size)), "\\.", "", "SELECT 1;"]
+        want += [(t, i, "COPY s.z (x) FROM stdin;" if i == 5 else f"{t}{i} é") for i in range(size)]
+    (tmp_path / "a.sql").write_text("\n".join(blocks) + "\n", encoding="utf-8")
+    (tmp_path / "open.sql").write_text("\n".join(blocks[:30]) + "\n", encoding="utf-8")
+    (tmp_path / "bad.sql").write_bytes(b"COPY s.a (x) FROM stdin;\n\xff\n\\.\n")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for width in ("97b", "700b", "1m"):
+            for n in names:
+                spark.conf.set(n, width)
+            dump = copy_dump.read_dump(spark, f"file://{tmp_path}/a.sql")
+            assert sorted((r["table"], r["ordinal"], r["fields"][0]) for r in dump.collect()) == sorted(want)
+            for file in ("open.sql", "bad.sql"):
+                with pytest.raises(Exception, match="ends inside|can't decode"):
+                    copy_dump.read_dump(spark, f"file://{tmp_path}/{file}").collect()
+    finally:
+        for n in names:
+            spark.conf.set(n, before[n])
+
+
 def test_registry_problems(spark):
     head = "| " + " | ".join(text_sources.REGISTRY_COLUMNS) + " |"
     lines = ["prose", head, "|---|---|---|---|---|---|", "| a.pdf | t | https://x | l | b | r |", "| a.pdf | t | ftp://x | l | b |  |", "| b.exe | t |"]
