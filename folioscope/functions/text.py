@@ -139,7 +139,7 @@ def letter_density(text: Column) -> Column:
     return F.when(F.length(solid) == 0, 0.0).otherwise(_many(solid, r"\p{L}") / F.length(solid))
 
 
-def _cp1251() -> tuple[str, str]:
+def cp1251_pairs() -> tuple[str, str]:
     """Characters U+0080 to U+00FF, and what cp1251 has at those bytes; bytes that it
     leaves open are left out."""
     wrong, right = "", ""
@@ -151,7 +151,7 @@ def _cp1251() -> tuple[str, str]:
 
 
 def recover_mojibake(text: Column) -> Column:
-    return F.translate(text, *_cp1251())
+    return F.translate(text, *cp1251_pairs())
 
 
 def classify_text(rows: DataFrame, text_col: str) -> DataFrame:

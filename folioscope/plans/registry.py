@@ -358,9 +358,25 @@ def _(s, d):
     return table(s, d, "documents").select("doc_id", *(c.alias(n) for n, c in tx.letter_stats(F.col("text")).items()))
 
 
-@query("mojibake")
+_WRONG, _RIGHT = tx.cp1251_pairs()
+_GARBLED = "CASE doc_id % 8 WHEN 0 THEN translate(concat(repeat('Съешь ещё этих мягких булок. ', 5), text), {0}, {1}) WHEN 1 THEN repeat('abcÀde ', 30) WHEN 2 THEN repeat('abcÀde 1234567890123456 ', 30) WHEN 3 THEN 'Х.' ELSE text END"
+
+
+def _letters_sql(of: str, prefix: str) -> str:
+    classes = {"cyr": "[^Ѐ-ӿ]", "sup": "[^À-ÿ]", "asc": "[^a-zA-Z]", "oth": r"[^\p{L}]|[Ѐ-ӿÀ-ÿa-zA-Z]"}
+    return ", ".join(f"length(regexp_replace({of}, '{c}', '', 'g')) AS {prefix}_{n}" for n, c in classes.items())
+
+
+@query("mojibake", rf"""WITH x AS (SELECT doc_id, {_GARBLED.format(f"'{_RIGHT}'", f"'{_WRONG}'")} AS t FROM documents), f AS (SELECT *, translate(t, '{_WRONG}', '{_RIGHT}') AS f FROM x),
+c AS (SELECT *, {_letters_sql('t', 'r')}, {_letters_sql('f', 'g')}, regexp_replace(t, '\s', '', 'g') AS solid FROM f),
+n AS (SELECT *, r_cyr + r_sup + r_asc + r_oth AS r, g_cyr + g_sup + g_asc + g_oth AS g, CASE WHEN length(solid) = 0 THEN 0 ELSE length(regexp_replace(solid, '[^\p{{L}}]', '', 'g')) / length(solid) END AS dense FROM c),
+k AS (SELECT *, CASE WHEN r < {tx.FEWEST_LETTERS} THEN 'no_text_layer' WHEN r_cyr / nullif(r, 0) >= {tx.CYRILLIC_CLEAN} THEN 'clean' WHEN r_sup / nullif(r, 0) <= {tx.LATIN_STRAY} THEN 'clean'
+  WHEN g_cyr / nullif(g, 0) >= {tx.CYRILLIC_CLEAN} THEN 'mojibake_recovered' WHEN dense >= {tx.DENSE_ENOUGH} THEN 'degraded' ELSE 'broken' END AS category FROM n)
+SELECT doc_id, category, CASE category WHEN 'clean' THEN 'clean' WHEN 'mojibake_recovered' THEN 'recoded' WHEN 'degraded' THEN 'degraded' ELSE 'unreadable' END AS state,
+  md5(CASE WHEN category = 'mojibake_recovered' THEN f ELSE t END) AS text_md5 FROM k""")
 def _(s, d):
-    done = tx.classify_text(table(s, d, "documents").select("doc_id", "text"), "text")
+    text = F.expr(_GARBLED.format(f"'{_RIGHT}'", f"'{_WRONG}'"))
+    done = tx.classify_text(table(s, d, "documents").select("doc_id", text.alias("text")), "text")
     return done.select("doc_id", "category", tx.extraction_state(F.col("category")).alias("state"), F.md5("recovered").alias("text_md5"))
 
 
