@@ -359,7 +359,7 @@ def _(s, d):
 
 
 _WRONG, _RIGHT = tx.cp1251_pairs()
-_GARBLED = "CASE doc_id % 8 WHEN 0 THEN translate(concat(repeat('Съешь ещё этих мягких булок. ', 5), text), {0}, {1}) WHEN 1 THEN repeat('abcÀde ', 30) WHEN 2 THEN repeat('abcÀde 1234567890123456 ', 30) WHEN 3 THEN 'Х.' ELSE text END"
+_GARBLED = "CASE doc_id % 8 WHEN 0 THEN translate(concat(repeat('Съешь ещё этих мягких булок. ', 5), doc_id), {0}, {1}) WHEN 4 THEN translate(text, {0}, {1}) WHEN 1 THEN repeat('abcÀde ', 30) WHEN 2 THEN repeat('abcÀde 1234567890123456 ', 30) WHEN 3 THEN 'Х.' ELSE text END"
 
 
 def _letters_sql(of: str, prefix: str) -> str:
@@ -598,7 +598,18 @@ def _(s, d):
     return copy_dump.table_of(copy_dump.read_dump(s, f"{folder}/part-*"), "public", "part", ["p_partkey", "p_name"])
 
 
-@query("crawl_levels")
+def _level_sql(n: int, known: str) -> str:
+    """Nodes of level n: cites one of the level before that is no hub, or is cited by one."""
+    near = f"SELECT citing AS id FROM cites JOIN l{n - 1} f ON f.id = cited WHERE f.id % 100 <= 95 UNION SELECT cited FROM cites JOIN l{n - 1} f ON f.id = citing"
+    return f"l{n} AS (SELECT id FROM scores WHERE score >= 0.05 AND id IN ({near}) AND id NOT IN ({known}))"
+
+
+@query("crawl_levels", f"""{with_sql('works', 'cites')}, {DOUBLES}, l0 AS (SELECT id FROM works WHERE kind = 'our-document'),
+unit AS (SELECT [x / sqrt(list_inner_product(embedding, embedding)) for x in embedding] AS v FROM w WHERE kind = 'our-document' AND embedding IS NOT NULL),
+mean AS (SELECT i, avg(x) AS m FROM (SELECT unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM unit) GROUP BY i), target AS (SELECT list(m ORDER BY i) AS v FROM mean),
+scores AS (SELECT id, CASE WHEN embedding IS NULL THEN -1 ELSE {COS.format(a='embedding', b='t.v')} END AS score FROM w, target t),
+{_level_sql(1, 'SELECT id FROM l0')}, {_level_sql(2, 'SELECT id FROM l0 UNION ALL SELECT id FROM l1')}
+SELECT 0 AS depth, count(*) AS nodes FROM l0 HAVING count(*) > 0 UNION ALL SELECT 1, count(*) FROM l1 HAVING count(*) > 0 UNION ALL SELECT 2, count(*) FROM l2 HAVING count(*) > 0""")
 def _(s, d):
     works, cites = load(s, d, "works"), load(s, d, "cites")
     refs = cites.groupBy(F.col("citing").alias("id")).agg(F.collect_set(F.concat(F.lit("W"), F.col("cited"))).alias("refs"))
