@@ -13,6 +13,7 @@ from folioscope.functions.stemmer import russian_tokens
 from folioscope.functions.text import phrase_count, simple_phrase_count, simple_tokens, snippet
 from folioscope.functions.vectors import cosine_distance, literal
 from folioscope.operators.ordered import numbered
+from folioscope.operators.publish import full_content
 
 RRF_K, RANKED = 60, 100
 Analyzer = Callable[[Column], Column]
@@ -38,6 +39,16 @@ def fulltext(pages: DataFrame, query: str, limit: int = 20, analyzer: Analyzer =
     return found.select("document_id", "page_number", snippet(F.col("body")).alias("snippet")).orderBy("document_id", "page_number").limit(limit)
 
 
+def hit_count(pages: DataFrame, query: str, documents: DataFrame | None = None, analyzer: Analyzer = russian_tokens) -> DataFrame:
+    """One row (pages, hits): how many pages match, and how often.  With ``documents`` (id,
+    public_distribution) only pages whose body leaves in the public cut are asked."""
+    if documents is not None:
+        with_body = documents.filter(full_content(F.col("public_distribution"))).select(F.col("id").alias("document_id"))
+        pages = pages.join(with_body, "document_id", "left_semi")
+    found = phrase_matches(pages, query, analyzer)
+    return found.agg(F.count(F.lit(1)).alias("pages"), F.coalesce(F.sum("hits"), F.lit(0)).cast("long").alias("hits"))
+
+
 def by_distance(pages: DataFrame, target: Sequence[float], digits: int = 5) -> DataFrame:
     """Pages that have a vector, with their rounded cosine distance; bodies left out."""
     return pages.filter(F.col("embedding").isNotNull()).select("id", "document_id", "page_number", F.round(cosine_distance(F.col("embedding"), literal(target)), digits).alias("distance"))

@@ -200,7 +200,13 @@ def _(s, d):
 
 @query("phrase_hits", _PHRASE_SQL + " SELECT count(*) AS pages, sum(hits)::BIGINT AS hits FROM hits WHERE hits > 0")
 def _(s, d):
-    return retrieval.phrase_matches(_pages(s, d), PHRASE, tx.simple_tokens).agg(F.count(F.lit(1)).alias("pages"), F.sum("hits").alias("hits"))
+    return retrieval.hit_count(_pages(s, d), PHRASE, analyzer=tx.simple_tokens)
+
+
+@query("phrase_hits_public", _PHRASE_SQL.replace("WITH ", with_sql("corpus") + ", ", 1) + """ SELECT count(*) AS pages, coalesce(sum(hits), 0)::BIGINT AS hits FROM hits
+WHERE hits > 0 AND document_id IN (SELECT id FROM corpus WHERE public_distribution IN ('full-text', 'internal'))""")
+def _(s, d):
+    return retrieval.hit_count(_pages(s, d), PHRASE, load(s, d, "corpus"), tx.simple_tokens)
 
 
 @query("rrf_search", _PHRASE_SQL + f""", {FIRST_PAGE}, {NEAR_PAGES},

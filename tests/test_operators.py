@@ -426,3 +426,45 @@ def test_completeness_by_hand(spark):
         spark.createDataFrame([("a",)], "id string"),
     )
     assert sorted(tuple(r) for r in got.collect()) == [("a", "no-url"), ("a", "page-count"), ("b", "broken-path"), ("b", "empty-metadata"), ("c", "not-indexed"), ("d/x", "unclassified"), ("e", "phantom-row")]
+
+
+def test_declared_embedder(spark):
+    from folioscope.operators.embedding import Embedder, EmbedderUnavailable
+
+    def fails(error):
+        def call(model, texts):
+            raise error
+        return call
+
+    models = spark.createDataFrame([("m", 2)], "model string, dims int")
+    good = Embedder.declared(models, lambda model, texts: [[float(len(model)), float(len(t))] for t in texts])
+    assert good.query("abc") == good.required("abc") == [1.0, 3.0]
+    texts = spark.createDataFrame([(1, "ab"), (2, " ")], "id long, text string")
+    assert [(r["id"], list(r["embedding"])) for r in good.table(texts).collect()] == [(1, [1.0, 2.0])]
+    assert Embedder.declared(models.limit(0), fails(OSError())) is None
+    with pytest.raises(ValueError):
+        Embedder.declared(models.union(models), fails(OSError()))
+    for error in (ConnectionError(), KeyError("embeddings"), IndexError()):
+        away = Embedder.declared(models, fails(error))
+        assert away.query("abc") is None
+        with pytest.raises(EmbedderUnavailable):
+            away.required("abc")
+    with pytest.raises(ValueError, match="embed the store again"):
+        Embedder.declared(models, lambda model, texts: [[1.0]]).query("abc")
+    with pytest.raises(Exception, match="doesn't fit"):
+        Embedder.declared(models, lambda model, texts: [[1.0, 2.0]] * 3).table(texts).collect()
+    pages = spark.createDataFrame([(1, 1, 1, "школа", [1.0, 0.0])], "id long, document_id long, page_number int, body string, embedding array<float>")
+    found, notice = retrieval.search(pages, "школа", "hybrid", embed=Embedder.declared(models, fails(OSError())).query)
+    assert notice and found.count() == 1
+
+
+def test_late_journal_rows_count_until_the_watermark(spark, tmp_path):
+    from folioscope.streaming import journal
+
+    for i, rows in enumerate(([("2024-01-01 00:10:00", "keep"), ("2024-01-01 03:00:00", "keep")], [("2024-01-01 02:55:00", "keep")], [("2024-01-01 00:20:00", "keep"), ("2024-01-01 09:00:00", "drop")])):
+        spark.createDataFrame(rows, "at string, action string").selectExpr("CAST(at AS timestamp) AS at", "action").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/{i}")
+    stream = spark.readStream.schema("at timestamp, action string").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+    counts = journal.action_counts(stream)
+    counts.writeStream.format("memory").queryName("late").outputMode("append").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
+    got = {(str(r["s"]), r["action"]): r["n"] for r in spark.sql("SELECT date_format(window.start, 'HH') s, action, n FROM late").collect()}
+    assert got == {("00", "keep"): 1, ("02", "keep"): 1, ("03", "keep"): 1}
