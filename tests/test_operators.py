@@ -468,3 +468,27 @@ def test_late_journal_rows_count_until_the_watermark(spark, tmp_path):
     counts.writeStream.format("memory").queryName("late").outputMode("append").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start().awaitTermination()
     got = {(str(r["s"]), r["action"]): r["n"] for r in spark.sql("SELECT date_format(window.start, 'HH') s, action, n FROM late").collect()}
     assert got == {("00", "keep"): 1, ("02", "keep"): 1, ("03", "keep"): 1}
+
+
+def test_manifest_gates_end_at_the_first_failure(spark):
+    from folioscope.operators.manifest_gates import manifest_gates
+
+    files = spark.createDataFrame([("d.gz", 5, "s"), ("other", 9, "s")], "name string, bytes long, sha256 string")
+    good = {
+        "schema_version": 3, "profile": "public", "citation": {}, "dump": {"file": "d.gz", "bytes": 5, "sha256": "s"},
+        "legal": {"shipped_distributions": ["full-text"], "full_content_distributions": ["full-text", "internal"]},
+    }
+    names = ["version", "profile", "vocabulary", "citation", "dump", "dump-intact"]
+    assert [(n, ok) for n, ok, _ in manifest_gates(good, files, 3)] == [(n, True) for n in names]
+    lists = good["legal"]
+    faults = [
+        ("version", {"schema_version": 2}), ("profile", {"profile": None}), ("vocabulary", {"legal": {**lists, "shipped_distributions": []}}),
+        ("vocabulary", {"legal": {**lists, "shipped_distributions": ["excluded"]}}), ("vocabulary", {"legal": {**lists, "full_content_distributions": ["metadata-only"]}}),
+        ("vocabulary", {"legal": []}), ("citation", {"citation": "none"}), ("dump", {"dump": ["d.gz"]}), ("dump", {"dump": {"file": 1}}),
+        ("dump-intact", {"dump": {"file": "gone"}}), ("dump-intact", {"dump": {"file": "d.gz", "bytes": 4, "sha256": "s"}}), ("dump-intact", {"dump": {"file": "d.gz", "bytes": 5, "sha256": "z"}}),
+    ]
+    for gate, change in faults:
+        got = manifest_gates(good | change, files, 3)
+        assert [n for n, _, _ in got] == names[: names.index(gate) + 1] and [ok for _, ok, _ in got] == [True] * (len(got) - 1) + [False] and got[-1][2]
+    full = good | {"profile": "full", "legal": {**lists, "shipped_distributions": ["excluded"]}}
+    assert all(ok for _, ok, _ in manifest_gates(full, files, 3))
