@@ -22,6 +22,24 @@ UNTITLED = -1.0
 JOURNAL = "depth int, frontier_key string, candidate_key string, action string, node_key string, score double, tau double, relation string, cited_by_count long, n_found long, n_kept long, reason string"
 
 
+# What the journal calls its steps, and the reasons a reader finds there.
+ACTIONS = ("seed", "seed-missing", "keep", "drop", "hub-skip", "fetch", "error")
+KEPT, TOO_FAR, NO_TEXT = "kept", "below-threshold", "no text to embed"
+
+
+def step(rows: DataFrame, action: str, depth: int, **columns: Column) -> DataFrame:
+    """Journal rows of one action, with the columns given; an action outside the
+    vocabulary is an error."""
+    if action not in ACTIONS:
+        raise ValueError(f"unknown action {action!r}, known are {', '.join(ACTIONS)}")
+    return rows.select(F.lit(depth).alias("depth"), F.lit(action).alias("action"), *(v.alias(n) for n, v in columns.items()))
+
+
+def drop_reason(score: Column) -> Column:
+    """A score of UNTITLED or less says that there was nothing to measure."""
+    return F.when(score <= UNTITLED, NO_TEXT).otherwise(TOO_FAR)
+
+
 def expandable(frontier: DataFrame, depth: int, skip: DataFrame | None = None) -> DataFrame:
     """Depth 0 and 1 expand whole; deeper only what was found by citing."""
     rows = frontier if depth <= 1 else frontier.filter("relation = 'cites'")
@@ -108,12 +126,13 @@ class Snowball:
 
         found = seeds.join(self.records, "id")
         missing = seeds.join(self.records.select("id"), "id", "left_anti")
-        self._write(missing.select(F.lit(0).alias("depth"), F.col("document_id").cast("string").alias("frontier_key"), F.lit("seed-missing").alias("action")))
+        self._write(step(missing, "seed-missing", 0, frontier_key=F.col("document_id")))
         rows = found.withColumns({"relation": F.lit("seed"), "score": F.lit(1.0)})
         empty = self.records.sparkSession.createDataFrame([], "ref string, key string")
         key, fresh = union_identities(rows, empty)
         self.aliases = self.stage(fresh, "aliases")
         self.nodes = self.stage(absorb(rows.join(key, "id")).withColumn("depth", F.lit(0)), "nodes")
+        self._write(step(found.join(key.withColumnRenamed("key", "node_key"), "id"), "seed", 0, frontier_key=F.col("document_id"), node_key=F.col("node_key")))
         self.centroid = centroid_unit(found)
         return self.nodes
 
@@ -127,11 +146,14 @@ class Snowball:
         key = self.stage(key, "keys")
         found = self.stage(absorb(kept.join(key, "id")), "found")
         level = self.stage(found.join(self.nodes.select("key"), "key", "left_anti").withColumn("depth", F.lit(depth)), "level")
-        self._write(hubs.select(F.lit(depth).alias("depth"), F.col("key").alias("frontier_key"), F.lit("hub-skip").alias("action"), F.col("key").alias("node_key"), F.col("cited_by_count")))
-        reason = F.when(F.col("score") <= UNTITLED, "no text to embed").when(F.col("kept"), "relevant").otherwise("below the threshold")
-        self._write(scored.join(key.withColumnRenamed("key", "node_key"), "id", "left").select(F.lit(depth).alias("depth"), F.col("hit").alias("frontier_key"), F.col("id").alias("candidate_key"), F.when(F.col("kept"), "keep").otherwise("drop").alias("action"), "node_key", "score", F.lit(self.tau).alias("tau"), "relation", reason.alias("reason")))
+        self._write(step(hubs, "hub-skip", depth, frontier_key=F.col("key"), node_key=F.col("key"), cited_by_count=F.col("cited_by_count")))
+        what = {"frontier_key": F.nullif("hit", F.lit("")), "candidate_key": F.col("id"), "score": F.col("score"), "tau": F.lit(self.tau), "relation": F.col("relation")}
+        named = kept.join(key.withColumnRenamed("key", "node_key"), "id")
+        self._write(step(named, "keep", depth, **what, node_key=F.col("node_key"), reason=F.lit(KEPT)))
+        self._write(step(scored.filter(~F.col("kept")), "drop", depth, **what, reason=drop_reason(F.col("score"))))
         counts = scored.select(F.explode("hits").alias("frontier_key"), "kept").groupBy("frontier_key").agg(F.count(F.lit(1)).alias("n_found"), F.count_if("kept").alias("n_kept"))
-        self._write(frontier.select(F.col("key").alias("frontier_key")).join(counts, "frontier_key", "left").fillna(0, ["n_found", "n_kept"]).select(F.lit(depth).alias("depth"), "frontier_key", F.lit("fetch").alias("action"), "n_found", "n_kept"))
+        credited = frontier.select(F.col("key").alias("frontier_key")).join(counts, "frontier_key", "left").fillna(0, ["n_found", "n_kept"])
+        self._write(step(credited, "fetch", depth, **{c: F.col(c) for c in ("frontier_key", "n_found", "n_kept")}))
         self.aliases = self.stage(self.aliases.unionByName(fresh), "aliases")
         self.nodes = self.stage(grown(self.nodes, found).unionByName(level), "nodes")
         return level

@@ -585,9 +585,12 @@ def _(s, d):
 
 @query("seed_status", f"{with_sql('corpus')} SELECT c.id, CASE WHEN e.vec_id IS NULL THEN 'seed-missing' ELSE 'seed' END AS action FROM corpus c LEFT JOIN embeddings e ON e.vec_id = c.id WHERE source_dir = 'theory/iis' AND extraction_state <> 'metadata'")
 def _(s, d):
-    seeds = load(s, d, "corpus").filter("source_dir = 'theory/iis' AND extraction_state != 'metadata'").select("id")
-    known = table(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.lit(True).alias("there"))
-    return seeds.join(known, "id", "left").select("id", F.when(F.col("there"), "seed").otherwise("seed-missing").alias("action"))
+    seeds = load(s, d, "corpus").filter("source_dir = 'theory/iis' AND extraction_state != 'metadata'").select(F.col("id").alias("document_id"), F.concat(F.lit("W"), "id").alias("id"))
+    none = F.array().cast("array<string>")
+    records = load(s, d, "works").select(F.col("key").alias("id"), F.concat(F.lit("10.1/"), "key").alias("doi"), "title", "year", F.lit(0).alias("cited_by_count"), none.alias("refs"), "embedding")
+    ball = crawl.Snowball(records, snapshots.scratch(s), tau=0.5)
+    ball.seed(seeds)
+    return ball.steps().select(F.col("frontier_key").cast("long").alias("id"), "action")
 
 
 @query("citers_of_records", f"{with_sql('cites')} SELECT DISTINCT citing AS id, cited FROM cites")

@@ -492,3 +492,11 @@ def test_manifest_gates_end_at_the_first_failure(spark):
         assert [n for n, _, _ in got] == names[: names.index(gate) + 1] and [ok for _, ok, _ in got] == [True] * (len(got) - 1) + [False] and got[-1][2]
     full = good | {"profile": "full", "legal": {**lists, "shipped_distributions": ["excluded"]}}
     assert all(ok for _, ok, _ in manifest_gates(full, files, 3))
+
+
+def test_journal_steps_have_known_actions(spark):
+    rows = spark.createDataFrame([("a", -1.0), ("b", 0.1)], "k string, score double")
+    got = crawl.step(rows, "drop", 2, candidate_key=F.col("k"), reason=crawl.drop_reason(F.col("score")))
+    assert sorted(tuple(r) for r in got.collect()) == [(2, "drop", "a", "no text to embed"), (2, "drop", "b", "below-threshold")]
+    with pytest.raises(ValueError, match="unknown action"):
+        crawl.step(rows, "dropped", 2)
